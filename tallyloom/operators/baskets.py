@@ -10,10 +10,10 @@ in other orders are looked up, and only items found in enough wide orders to be
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import one_row
+from tallyloom.session import stored
 
 WIDE_ORDER = 500
 
@@ -25,14 +25,9 @@ def baskets(df: DataFrame, order_key: str, item: str) -> DataFrame:
     return lines.join(sizes, "order_id")
 
 
-def min_support_count(basket_rows: DataFrame, min_support: float) -> Column:
-    """Orders an itemset must be in: max(2, whole part of baskets * min_support), as a scalar."""
-    baskets_total = F.count_distinct("order_id")
-    return one_row(
-        basket_rows.agg(
-            F.greatest(F.lit(2).cast("long"), F.floor(baskets_total * F.lit(min_support)).cast("long")).alias("least")
-        )
-    )["least"]
+def min_count(basket_total: int, min_support: float) -> int:
+    """Orders an itemset must be in."""
+    return max(2, int(basket_total * min_support))
 
 
 def item_supports(basket_rows: DataFrame) -> DataFrame:
@@ -41,53 +36,49 @@ def item_supports(basket_rows: DataFrame) -> DataFrame:
 
 
 def frequent_pairs(basket_rows: DataFrame, min_support: float, wide: int = WIDE_ORDER) -> DataFrame:
-    """Item pairs in enough orders: counts, support, confidence both ways, lift."""
-    least = min_support_count(basket_rows, min_support)
-    supports = item_supports(basket_rows)
-    kept = basket_rows.join(supports.where(F.col("item_orders") >= least).select("item"), "item")
-    narrow, wide_rows = _split(kept, wide)
+    """Item pairs in enough orders: counts, support, confidence both ways, lift.
 
-    counted = _pair_up(narrow)
-    repeated = wide_rows.groupBy("item").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
-    from_wide = _pair_up(wide_rows.join(repeated.select("item"), "item"))
-    pairs = _add_wide(counted, from_wide, wide_rows, ["item_a", "item_b"], least)
-
-    total = one_row(basket_rows.agg(F.count_distinct("order_id").alias("n")))["n"].cast("double")
+    `basket_rows` is read several times: pass a stored table.
+    """
+    total, wide_orders = _profile(basket_rows, wide)
+    least = min_count(total, min_support)
+    supports = item_supports(basket_rows)
+    pairs = _count_pairs(basket_rows, supports, least, wide, wide_orders)
     of_a = supports.select(F.col("item").alias("item_a"), F.col("item_orders").alias("_a"))
     of_b = supports.select(F.col("item").alias("item_b"), F.col("item_orders").alias("_b"))
     together = F.col("orders_together")
     return (
         pairs.join(of_a, "item_a")
         .join(of_b, "item_b")
-        .withColumn("_n", total)
         .select(
             "item_a",
             "item_b",
             "orders_together",
-            (together / F.col("_n")).alias("support"),
+            (together / total).alias("support"),
             (together / F.col("_a")).alias("confidence_a_to_b"),
             (together / F.col("_b")).alias("confidence_b_to_a"),
-            (together * F.col("_n") / (F.col("_a") * F.col("_b"))).alias("lift"),
+            (together * total / (F.col("_a") * F.col("_b"))).alias("lift"),
         )
     )
 
 
-def frequent_triples(
-    basket_rows: DataFrame, pairs: DataFrame, min_support: float, wide: int = WIDE_ORDER
-) -> DataFrame:
-    """Item triples in enough orders, grown from frequent pairs: counts and support."""
-    least = min_support_count(basket_rows, min_support)
-    pairs = pairs.select("item_a", "item_b")
-    narrow, wide_rows = _split(basket_rows, wide)
-
-    counted = _grow(_occurrences(narrow, pairs), pairs)
-    in_wide = _occurrences(wide_rows, pairs)
-    repeated = in_wide.groupBy("item_a", "item_b").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
-    from_wide = _grow(in_wide.join(repeated.drop("_w"), ["item_a", "item_b"]), pairs)
-    triples = _add_wide(counted, from_wide, wide_rows, ["item_a", "item_b", "item_c"], least)
+def frequent_triples(basket_rows: DataFrame, min_support: float, wide: int = WIDE_ORDER) -> DataFrame:
+    """Item triples in enough orders, grown from the frequent pairs: counts and support.
 
-    total = one_row(basket_rows.agg(F.count_distinct("order_id").alias("n")))["n"].cast("double")
-    return triples.select(
+    The pairs are stored between the two steps.
+    """
+    total, wide_orders = _profile(basket_rows, wide)
+    least = min_count(total, min_support)
+    counts = _count_pairs(basket_rows, item_supports(basket_rows), least, wide, wide_orders)
+    pairs = stored(counts.select("item_a", "item_b"), "frequent_pairs")
+    narrow, wide_rows = _split(basket_rows, wide)
+    triples = _grow(_occurrences(narrow, pairs), pairs)
+    if wide_orders:
+        in_wide = _occurrences(wide_rows, pairs)
+        repeated = in_wide.groupBy("item_a", "item_b").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
+        from_wide = _grow(in_wide.join(repeated.drop("_w"), ["item_a", "item_b"]), pairs)
+        triples = _add_wide(triples, from_wide, wide_rows, wide_orders, least)
+    return triples.where(F.col("orders_together") >= least).select(
         F.col("item_a").alias("item_1"),
         F.col("item_b").alias("item_2"),
         F.col("item_c").alias("item_3"),
@@ -96,6 +87,24 @@ def frequent_triples(
     )
 
 
+def _profile(basket_rows: DataFrame, wide: int) -> tuple[int, int]:
+    """Number of baskets, and of those with more than `wide` items: decides the threshold and the plan."""
+    sizes = basket_rows.groupBy("order_id").agg(F.max("basket_size").alias("size"))
+    found = sizes.agg(F.count("*").alias("all"), F.count_if(F.col("size") > wide).alias("wide")).first()
+    return found["all"], found["wide"]
+
+
+def _count_pairs(basket_rows: DataFrame, supports: DataFrame, least: int, wide: int, wide_orders: int) -> DataFrame:
+    kept = basket_rows.join(supports.where(F.col("item_orders") >= least).select("item"), "item")
+    narrow, wide_rows = _split(kept, wide)
+    pairs = _pair_up(narrow)
+    if wide_orders:
+        repeated = wide_rows.groupBy("item").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
+        from_wide = _pair_up(wide_rows.join(repeated.select("item"), "item"))
+        pairs = _add_wide(pairs, from_wide, wide_rows, wide_orders, least)
+    return pairs.where(F.col("orders_together") >= least)
+
+
 def _split(rows: DataFrame, wide: int) -> tuple[DataFrame, DataFrame]:
     is_wide = F.col("basket_size") > wide
     return rows.where(~is_wide).select("order_id", "item"), rows.where(is_wide).select("order_id", "item")
@@ -128,17 +137,15 @@ def _grow(occurrences: DataFrame, pairs: DataFrame) -> DataFrame:
     return grown.groupBy("item_a", "item_b", "item_c").agg(F.count("*").alias("orders_together"))
 
 
-def _add_wide(counted: DataFrame, from_wide: DataFrame, wide_rows: DataFrame, names: list[str], least: Column) -> DataFrame:
-    """Total counts of itemsets that reach the threshold, over narrow and wide orders together."""
-    wide_orders = one_row(wide_rows.agg(F.count_distinct("order_id").alias("n")))["n"]
-    hopeful = counted.where(F.col("orders_together") + wide_orders >= least)
+def _add_wide(counted: DataFrame, from_wide: DataFrame, wide_rows: DataFrame, wide_orders: int, least: int) -> DataFrame:
+    """Counts over narrow and wide orders together, for every itemset that may reach the threshold."""
+    names = [name for name in counted.columns if name.startswith("item_")]
+    hopeful = stored(counted.where(F.col("orders_together") >= least - wide_orders), "hopeful_itemsets")
     looked_up = _occurrences(wide_rows, hopeful.select(*names)).groupBy(*names).agg(F.count("*").alias("_w"))
-    seen = (
-        hopeful.join(looked_up, names, "left")
-        .select(*names, (F.col("orders_together") + F.coalesce("_w", F.lit(0))).alias("orders_together"))
-        .where(F.col("orders_together") >= least)
+    seen = hopeful.join(looked_up, names, "left").select(
+        *names, (F.col("orders_together") + F.coalesce("_w", F.lit(0))).alias("orders_together")
     )
-    only_wide = from_wide.where(F.col("orders_together") >= least).join(hopeful.select(*names), names, "left_anti")
+    only_wide = from_wide.join(hopeful.select(*names), names, "left_anti")
     return seen.unionByName(only_wide.select(*names, "orders_together"))
 
 

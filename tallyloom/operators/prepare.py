@@ -88,20 +88,24 @@ def discretise(df: DataFrame, column: str, edges: Sequence[float], labels: Seque
     return df.withColumn(name, band(F.col(column), edges, labels))
 
 
-def levels_of(df: DataFrame, column: str, most: int = MAX_LEVELS) -> list[str]:
-    """The distinct values of a categorical column in order; refuses a column that is not categorical."""
-    found = df.select(column).na.drop().distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} levels")
-    return sorted(row[0] for row in found)
+def levels_of(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """The distinct values of categorical columns in order, in one pass; refuses columns that are not categorical."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns])
+    found = df.select(F.inline(cells)).na.drop().distinct().limit(most * len(columns) + 1).collect()
+    levels = {c: sorted(row["level"] for row in found if row["column"] == c) for c in columns}
+    crowded = [c for c in columns if len(levels[c]) > most] or (list(columns) if len(found) > most * len(columns) else [])
+    if crowded:
+        raise ValueError(f"more than {most} levels: {crowded}")
+    return levels
 
 
 def one_hot_drop_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each categorical column by 0/1 columns for all its levels but the alphabetically first."""
-    dummies = []
-    for c in columns:
-        for level in levels_of(df, c)[1:]:
-            dummies.append(F.coalesce((F.col(c) == level).cast("double"), F.lit(0.0)).alias(f"{c}_{level}"))
+    dummies = [
+        F.coalesce((F.col(c) == level).cast("double"), F.lit(0.0)).alias(f"{c}_{level}")
+        for c, levels in levels_of(df, columns).items()
+        for level in levels[1:]
+    ]
     return df.select(*[f"`{name}`" for name in df.columns if name not in columns], *dummies)
 
 

@@ -10,8 +10,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import one_row
 from tallyloom.operators.prepare import chronological_split, one_hot_drop_first, zscore
+from tallyloom.session import stored
 
 # The model's inputs and penalty.
 NUMERIC_FEATURES = (
@@ -95,7 +95,7 @@ def profit_regression(
     wanted = ["order_id", "order_date", "profit", "profitable", *numeric, *categorical]
     rows = one_hot_drop_first(orders.select(*[f"`{c}`" for c in wanted]).na.drop(), categorical)
     features = [c for c in rows.columns if c not in ("order_id", "order_date", "profit", "profitable")]
-    split = chronological_split(rows, "order_date", "order_id")
+    split = stored(chronological_split(rows, "order_date", "order_id"), "regression_orders")
     return ridge(split.where("is_train"), split.where("not is_train"), features, "profit", alpha)
 
 

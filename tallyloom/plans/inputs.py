@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.customers import order_level
+from tallyloom.operators.baskets import baskets as baskets_of
+from tallyloom.operators.customers import customer_rfm, order_level
 from tallyloom.plans.warehouse import SCHEMAS, Tables, build_schema
 from tallyloom.session import work_dir
 from tallyloom.sources.order_lines import order_lines_from_tables
@@ -48,24 +49,34 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(_once(spark, folder, "order_lines", make))
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The review table, joined once and stored."""
+def _table(spark: SparkSession, folder: str, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, stored on first use because several passes read it."""
 
     def make(path: str) -> str:
-        reviews_from_tables(source_tables(spark, folder)).write.mode("overwrite").parquet(path)
+        frame().write.mode("overwrite").parquet(path)
         return path
 
-    return spark.read.parquet(_once(spark, folder, "reviews", make))
+    return spark.read.parquet(_once(spark, folder, name, make))
+
+
+def reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The review table, joined once."""
+    return _table(spark, folder, "reviews", lambda: reviews_from_tables(source_tables(spark, folder)))
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order, stored because the regression passes over it several times."""
+    """One row per order."""
+    return _table(spark, folder, "order_level", lambda: order_level(order_lines(spark, folder)))
+
+
+def customers(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per customer."""
+    return _table(spark, folder, "customer_rfm", lambda: customer_rfm(order_lines(spark, folder)))
 
-    def make(path: str) -> str:
-        order_level(order_lines(spark, folder)).write.mode("overwrite").parquet(path)
-        return path
 
-    return spark.read.parquet(_once(spark, folder, "order_level", make))
+def baskets(spark: SparkSession, folder: str, item: str) -> DataFrame:
+    """Items of orders with at least two of them."""
+    return _table(spark, folder, f"baskets_{item}", lambda: baskets_of(order_lines(spark, folder), "order_id", item))
 
 
 def schema(spark: SparkSession, folder: str, name: str) -> Tables:

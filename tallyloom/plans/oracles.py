@@ -416,7 +416,7 @@ O["smooth_by_bin_mean"] = lines(
     f"""SELECT {_ID}, CAST(sales AS DOUBLE) AS sales, sales_bin,
 {r("CAST(sum(sales) OVER (PARTITION BY sales_bin) AS DOUBLE) / count(*) OVER (PARTITION BY sales_bin)", 4)} AS sales_smoothed FROM b""",
     "q AS (SELECT quantile_cont(CAST(sales AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM lines)",
-    f"b AS (SELECT {_ID}, sales, CAST(len(list_filter(e, x -> x < CAST(sales AS DOUBLE))) AS INT) AS sales_bin FROM lines, q)",
+    f"b AS (SELECT {_ID}, sales, CAST(len(list_filter(e, lambda x: x < CAST(sales AS DOUBLE))) AS INT) AS sales_bin FROM lines, q)",
 )
 _LINE = "k AS (SELECT regr_slope(CAST(profit AS DOUBLE), CAST(sales AS DOUBLE)) AS s, regr_intercept(CAST(profit AS DOUBLE), CAST(sales AS DOUBLE)) AS i FROM lines)"
 O["smooth_by_regression"] = lines(f"SELECT {_ID}, {r('s * CAST(sales AS DOUBLE) + i', 4)} AS profit_fitted FROM lines, k", _LINE)
@@ -603,8 +603,8 @@ sum(sales) AS total_sales, sum(profit) AS total_profit, avg(profit_margin) AS av
 avg(avg_order_value) AS avg_order_value FROM rfm GROUP BY ALL)"""
 O["customer_rfm"] = lines(
     f"""SELECT customer_name, CAST(last_order AS VARCHAR) AS last_order, CAST(first_order AS VARCHAR) AS first_order, orders,
-{d("sales")} AS sales, {d("profit")} AS profit, quantity, {r("avg_discount", 5)} AS avg_discount, markets, categories, recency_days,
-{r("profit_margin", 5)} AS profit_margin, {r("avg_order_value", 5)} AS avg_order_value FROM rfm""",
+{d("sales")} AS sales, {d("profit")} AS profit, quantity, {r("avg_discount", 8)} AS avg_discount, markets, categories, recency_days,
+{r("profit_margin", 8)} AS profit_margin, {r("avg_order_value", 8)} AS avg_order_value FROM rfm""",
     _RFM,
 )
 O["cluster_summary"] = lines(
@@ -704,7 +704,7 @@ _MARKS = (("<[^\\n]*?>", ""), ("http" + _NOT_BLANK, ""))
 _CLEAN = f"trim({_replace('lower(review_text)', *_MARKS, ('[\\p{Nd}]+', ' '), (_PUNCT, ' '), (_BLANK, ' '))}, ' ')"
 _WORDS = f"string_split({_replace('lower(review_text)', *_MARKS, (_PUNCT, ' '), ('[0-9]+', ''), (_BLANK, ' '))}, ' ')"
 CLEANED = f"c AS (SELECT *, {_CLEAN} AS clean_review FROM reviews)"
-TOKENS = f"t AS (SELECT *, list_filter({_WORDS}, w -> length(w) >= 3 AND w NOT IN {listed(N.STOPS)}) AS tokens FROM reviews)"
+TOKENS = f"t AS (SELECT *, list_filter({_WORDS}, lambda w: length(w) >= 3 AND w NOT IN {listed(N.STOPS)}) AS tokens FROM reviews)"
 _FLAG = {
     theme.lower().replace(" ", "_"): f"list_has_any(string_split(clean_review, ' '), {list(words)})"
     for theme, words in N.THEMES.items()
@@ -778,8 +778,8 @@ O["box_stats_lines"] = lines(_box("lines", "sub_category", "sales"))
 O["negative_response_mean"] = texts(
     f"SELECT {r('avg(response_time_hours)')} AS avg_response_hours FROM reviews WHERE sentiment = 'negative'"
 )
-_HITS = f"""h AS (SELECT review_id, list_filter(tokens, w -> w IN {listed(N.COMPETITOR_TERMS)}) AS competitor_hits,
-list_filter(tokens, w -> w IN {listed(N.PAIN_TERMS)}) AS pain_hits FROM t)"""
+_HITS = f"""h AS (SELECT review_id, list_filter(tokens, lambda w: w IN {listed(N.COMPETITOR_TERMS)}) AS competitor_hits,
+list_filter(tokens, lambda w: w IN {listed(N.PAIN_TERMS)}) AS pain_hits FROM t)"""
 O["seed_hits"] = texts(
     """SELECT review_id, array_to_string(competitor_hits, ' ') AS competitor_hits, array_to_string(pain_hits, ' ') AS pain_hits,
 len(competitor_hits) > 0 AS has_competitor, len(pain_hits) > 0 AS has_pain FROM h""",
@@ -812,11 +812,11 @@ WHERE term IN (SELECT term FROM v) GROUP BY ALL""",
 )
 O["sequence_encode"] = texts(
     """SELECT c.review_id, array_to_string(list_resize(coalesce(ids, []), 100, 0), ' ') AS sequence FROM c LEFT JOIN
-(SELECT review_id, list(coalesce(id, 1) ORDER BY at) AS ids FROM places LEFT JOIN vocab USING (word) WHERE at <= 100 GROUP BY review_id)
+(SELECT review_id, list(coalesce(id, 1) ORDER BY place) AS ids FROM places LEFT JOIN vocab USING (word) WHERE place <= 100 GROUP BY review_id)
 USING (review_id)""",
     CLEANED,
-    "w AS (SELECT review_id, list_filter(string_split(clean_review, ' '), x -> x <> '') AS ws FROM c)",
-    "places AS (SELECT review_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS at FROM w)",
+    "w AS (SELECT review_id, list_filter(string_split(clean_review, ' '), lambda x: x <> '') AS ws FROM c)",
+    "places AS (SELECT review_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM w)",
     """vocab AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) + 1 AS id FROM
 (SELECT word, count(*) AS n FROM places GROUP BY word ORDER BY n DESC, word LIMIT 4998))""",
 )

@@ -112,12 +112,12 @@ def _(spark, folder):
 @query("load_reviews")
 def _(spark, folder):
     path = I.folder_for(spark, folder, "raw_reviews")
-    raw = I.reviews(spark, folder).withColumnRenamed("review_text", " Comment Text ")
+    raw = I.reviews(spark, folder).withColumnsRenamed({"review_id": "Id", "review_text": " Comment Text "})
     raw.write.mode("overwrite").options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     loaded = V.load_reviews(spark, path)
-    return loaded.withColumn("review_id", F.col("review_id").cast("long"))
+    return loaded.withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", "review_id")
 
 
 @query("read_marts")
@@ -523,43 +523,37 @@ def _(spark, folder):
     return B.baskets(I.order_lines(spark, folder), "order_id", "sub_category")
 
 
-def _pairs(spark, folder, item, support):
-    rows = B.baskets(I.order_lines(spark, folder), "order_id", item)
-    return rows, B.frequent_pairs(rows, support)
-
-
 @query("frequent_pairs")
 def _(spark, folder):
-    return _pairs(spark, folder, "product_name", NAME_SUPPORT)[1]
+    return B.frequent_pairs(I.baskets(spark, folder, "product_name"), NAME_SUPPORT)
 
 
 @query("frequent_pairs_sub_category")
 def _(spark, folder):
-    return _pairs(spark, folder, "sub_category", KIND_SUPPORT)[1]
+    return B.frequent_pairs(I.baskets(spark, folder, "sub_category"), KIND_SUPPORT)
 
 
 @query("frequent_triples")
 def _(spark, folder):
-    rows, pairs = _pairs(spark, folder, "product_name", NAME_SUPPORT)
-    return B.frequent_triples(rows, pairs, NAME_SUPPORT)
+    return B.frequent_triples(I.baskets(spark, folder, "product_name"), NAME_SUPPORT)
 
 
 @query("frequent_triples_sub_category")
 def _(spark, folder):
-    rows, pairs = _pairs(spark, folder, "sub_category", KIND_SUPPORT)
-    return B.frequent_triples(rows, pairs, KIND_SUPPORT)
+    return B.frequent_triples(I.baskets(spark, folder, "sub_category"), KIND_SUPPORT)
 
 
 @query("top_n")
 def _(spark, folder):
-    pairs = _pairs(spark, folder, "sub_category", KIND_SUPPORT)[1]
+    pairs = B.frequent_pairs(I.baskets(spark, folder, "sub_category"), KIND_SUPPORT)
     return B.top_n(pairs, ["orders_together"], ["item_a", "item_b"], 100)
 
 
 @query("min_support_filter")
 def _(spark, folder):
-    rows = B.baskets(I.order_lines(spark, folder), "order_id", "product_name")
-    return B.item_supports(rows).where(F.col("item_orders") >= B.min_support_count(rows, 0.002))
+    rows = I.baskets(spark, folder, "product_name")
+    least = B.min_count(rows.agg(F.count_distinct("order_id").alias("n")).first()["n"], 0.002)
+    return B.item_supports(rows).where(F.col("item_orders") >= least)
 
 
 @query("decision_rules")
@@ -605,14 +599,14 @@ def _(spark, folder):
     return Q.three_step_patterns(Q.next_step(_states(spark, folder)))
 
 
-@query("customer_rfm", digits=5)
+@query("customer_rfm", digits=8)
 def _(spark, folder):
     return K.customer_rfm(I.order_lines(spark, folder))
 
 
 def _grouped_customers(spark, folder):
     """Customers with a given segment number (by number of orders)."""
-    return K.customer_rfm(I.order_lines(spark, folder)).withColumn("cluster", (F.col("orders") % 4).cast("int"))
+    return I.customers(spark, folder).withColumn("cluster", (F.col("orders") % 4).cast("int"))
 
 
 @query("cluster_summary", digits=4)
@@ -628,18 +622,18 @@ def _(spark, folder):
 
 @query("customer_clusters")
 def _(spark, folder):
-    customers, _ = K.customer_clusters(K.customer_rfm(I.order_lines(spark, folder)))
+    customers, _ = K.customer_clusters(I.customers(spark, folder))
     return K.label_customers(customers.drop("features"), K.cluster_summary(customers))
 
 
 @query("customer_cluster_summary")
 def _(spark, folder):
-    return K.cluster_summary(K.customer_clusters(K.customer_rfm(I.order_lines(spark, folder)))[0])
+    return K.cluster_summary(K.customer_clusters(I.customers(spark, folder))[0])
 
 
 @query("cluster_pca")
 def _(spark, folder):
-    return K.cluster_pca(K.customer_rfm(I.order_lines(spark, folder)))
+    return K.cluster_pca(I.customers(spark, folder))
 
 
 @query("profit_regression")

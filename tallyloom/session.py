@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_NUMBERS = itertools.count(1)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,3 +25,14 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A folder of this application's own inside the shared folder."""
     return f"{shared_dir(spark)}/tallyloom/{spark.sparkContext.applicationId}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For a frame that several passes read: it is computed once, survives lost executors, and its real size is known to
+    the joins that follow.
+    """
+    path = work_dir(df.sparkSession, f"stored/{name}-{next(_NUMBERS)}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
