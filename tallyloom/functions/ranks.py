@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import one_row
+from tallyloom.functions.columns import hash_key
+from tallyloom.session import stored
 
 SKETCH_ACCURACY = 10_000
 
@@ -41,7 +42,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
         outside.append(F.count_if(F.col("_v") < F.col("_lo")[i]).alias(f"_below{i}"))
         outside.append(F.count_if(F.col("_v") <= F.col("_hi")[i]).alias(f"_upto{i}"))
     counted = (
-        _with_group_facts(rows, brackets, groups)
+        _with_group_facts(rows, _settled(brackets, groups), groups)
         .groupBy(*groups)
         .agg(*outside, F.min("_lo").alias("_lo"), F.min("_hi").alias("_hi"))
     )
@@ -62,7 +63,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
                 (position - first).alias("share"),
             )
         )
-    wanted = counted.select(*groups, "n", F.array(*plans).alias("_plans"))
+    wanted = _settled(counted.select(*groups, "n", F.array(*plans).alias("_plans")), groups)
 
     inside = (
         _with_group_facts(rows, wanted, groups)
@@ -84,13 +85,30 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
     return points.groupBy(*groups, "n").agg(F.array(*slots).alias("q"))
 
 
+def _settled(facts: DataFrame, groups: list[str]) -> DataFrame:
+    """Per-group facts computed once: a stored table, or a local row when there is one group only."""
+    if groups:
+        return stored(facts, "group_facts")
+    return facts.sparkSession.createDataFrame(facts.collect(), facts.schema)
+
+
 def _with_group_facts(rows: DataFrame, facts: DataFrame, groups: list[str]) -> DataFrame:
-    """Attach per-group facts.  Joined by key: adaptive execution broadcasts them when small and splits hot groups."""
+    """Attach settled facts.  Grouped ones are joined by key, and their stored size decides how."""
     if groups:
         return rows.join(facts, groups)
-    return rows.withColumn("_facts", one_row(facts)).select(
-        *rows.columns, *[F.col(f"_facts.{name}").alias(name) for name in facts.columns]
-    )
+    single = facts.first()
+    if single is None:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields]
+        return rows.where(F.lit(False)).select("*", *nothing)
+    return rows.select("*", *[_literal(single[f.name]).cast(f.dataType).alias(f.name) for f in facts.schema.fields])
+
+
+def _literal(value: object) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[_literal(part).alias(name) for name, part in value.asDict().items()])
+    if isinstance(value, list):
+        return F.array(*[_literal(part) for part in value])
+    return F.lit(value)
 
 
 def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int], groups: Sequence[str] = ()) -> DataFrame:
@@ -102,7 +120,8 @@ def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int],
     """
     groups = list(groups)
     rows = df.select(*groups, F.col(key).alias("_k")).na.drop()
-    target = rows.groupBy(*groups).agg(F.count("*").alias("n")).select(*groups, "n", rank.cast("long").alias("_rank"))
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n")).select(*groups, "n", rank.cast("long").alias("_rank"))
+    target = _settled(sizes, groups)
     narrowed = rows
     ordering = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
     for length in [*prefixes, None]:
@@ -116,6 +135,7 @@ def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int],
         )
         if length is None:
             return chosen.select(*groups, F.col("_p").alias("cut_key"), F.col("_rank").alias("copies_wanted"), "n")
+        chosen = _settled(chosen, groups)
         narrowed = (
             _with_group_facts(rows, chosen.select(*groups, "_p"), groups)
             .where(prefix == F.col("_p"))
@@ -127,16 +147,16 @@ def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int],
 
 def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """The rows with the lowest hash of `keys`, exactly round(share * rows) of them when the keys identify a row."""
-    from tallyloom.functions.columns import hash_key
-
     hashed = df.withColumn("_h", hash_key(*keys))
-    cut = one_row(ordered_cut(hashed, "_h", F.round(F.col("n") * F.lit(share)), prefixes=(3,)))
+    cut = ordered_cut(hashed, "_h", F.round(F.col("n") * F.lit(share)), prefixes=(3,)).first()
+    if cut is None:
+        return df.where(F.lit(False))
     below = hashed.where(F.col("_h") < cut["cut_key"]).drop("_h")
     at_cut = (
         hashed.where(F.col("_h") == cut["cut_key"])
         .groupBy(*df.columns)
         .agg(F.count("*").alias("_c"))
-        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_c"), cut["copies_wanted"]))).alias("_"))
+        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_c"), F.lit(cut["copies_wanted"])))).alias("_"))
         .drop("_")
     )
     return below.unionByName(at_cut)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import one_row
 from tallyloom.functions.ranks import exact_quantiles
+from tallyloom.session import stored
 
 # Complaint themes by keyword, and the words left out of the complaint word ranking.
 COMPLAINT_THEMES: dict[str, tuple[str, ...]] = {
@@ -77,7 +78,8 @@ def service_metrics(complaints: DataFrame, reviews: DataFrame) -> DataFrame:
     """Mean, median and 90th percentile response time, resolution rate, mean rating of complaints and of all reviews."""
     response = F.col("response_time_hours").try_cast("double")
     rating = F.avg(F.col("customer_rating").try_cast("double"))
-    points = one_row(exact_quantiles(complaints.select(response.alias("v")), "v", [0.5, 0.9]))["q"]
+    found = exact_quantiles(complaints.select(response.alias("v")), "v", [0.5, 0.9]).first()
+    median, p90 = found["q"] if found else (None, None)
     resolved = F.coalesce(F.lower(F.col("issue_resolved")).isin(list(RESOLVED_VALUES)), F.lit(False))
     return complaints.agg(
         F.count("*").alias("complaints"),
@@ -86,8 +88,8 @@ def service_metrics(complaints: DataFrame, reviews: DataFrame) -> DataFrame:
         rating.alias("avg_rating_complaints"),
     ).select(
         "*",
-        points[0].alias("median_response_hours"),
-        points[1].alias("p90_response_hours"),
+        F.lit(median).cast("double").alias("median_response_hours"),
+        F.lit(p90).cast("double").alias("p90_response_hours"),
         reviews.agg(rating.alias("r")).scalar().alias("avg_rating_all"),
     )
 
@@ -135,7 +137,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: quartiles, whiskers (furthest values within 1.5 interquartile ranges) and outliers."""
     rows = df.select(F.col(group).alias("_g"), F.col(value).try_cast("double").alias("_v")).na.drop()
     quartiles = exact_quantiles(rows, "_v", [0.25, 0.5, 0.75], ["_g"])
-    fenced = quartiles.select(
+    fenced = stored(quartiles, "quartiles").select(
         "_g",
         F.col("q")[0].alias("q1"),
         F.col("q")[1].alias("median"),

@@ -15,17 +15,17 @@ MAX_LEVELS = 1_000
 
 def impute_median(df: DataFrame, column: str) -> DataFrame:
     """Missing values take the median of the others."""
-    median = one_row(exact_quantiles(df, column, [0.5]))["q"][0]
+    found = exact_quantiles(df, column, [0.5]).first()
+    median = F.lit(found["q"][0] if found else None)
     return df.withColumn(column, F.coalesce(F.col(column).cast("double"), median))
 
 
 def smooth_by_bin_mean(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-frequency bins; adds the bin and its mean.  Bins whose edges coincide are merged."""
-    edges = one_row(exact_quantiles(df, column, [i / bins for i in range(1, bins)]))["q"]
+    found = exact_quantiles(df, column, [i / bins for i in range(1, bins)]).first()
     value = F.col(column).cast("double")
-    with_edges = df.withColumn("_edges", edges)
-    above = [(value > F.col("_edges")[i]).cast("int") for i in range(bins - 1)]
-    binned = with_edges.withColumn(f"{column}_bin", sum(above[1:], above[0])).drop("_edges")
+    above = [(value > edge).cast("int") for edge in (found["q"] if found else [])]
+    binned = df.withColumn(f"{column}_bin", sum(above, F.lit(0)))
     means = binned.where(F.col(column).isNotNull()).groupBy(f"{column}_bin").agg(
         F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double")).alias("mean")
     )
@@ -128,7 +128,8 @@ def chronological_split(df: DataFrame, date: str, key: str, train_share: float =
     """
     keyed = df.withColumn("_key", F.concat(F.date_format(date, "yyyy-MM-dd"), hash_key(key)))
     cut = ordered_cut(keyed, "_key", F.floor(F.col("n") * F.lit(train_share)), prefixes=(10, 13))
-    is_train = F.coalesce(F.col("_key") <= one_row(cut)["cut_key"], F.lit(False))
+    found = cut.first()
+    is_train = F.coalesce(F.col("_key") <= found["cut_key"], F.lit(False)) if found else F.lit(False)
     return keyed.withColumn("is_train", is_train).drop("_key")
 
 

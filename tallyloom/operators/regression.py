@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.prepare import chronological_split, one_hot_drop_first, zscore
+from tallyloom.operators.prepare import chronological_split, one_hot_drop_first
 from tallyloom.session import stored
 
 # The model's inputs and penalty.
@@ -54,34 +55,34 @@ class RidgeFit:
 def ridge(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, alpha: float) -> RidgeFit:
     """Ridge with an unpenalised intercept on features z-scored by the training part.
 
-    The library divides the squared error by the row count and scales the label, so its penalty is
-    alpha * deviation(label) / rows.  The normal-equation solver needs one pass.
+    The penalty is meant for features scaled by their population deviation, the scaler uses the sample deviation
+    (larger by 1/c, c^2 = (n-1)/n), and the solver divides the squared error by n and by the label's deviation.  So
+    its parameter is alpha * c^2 * deviation(label) / n, and its coefficients are multiplied by c.  Scaling takes one
+    pass over the training rows and the normal equations another.
     """
-    safe = {name: f"f{i}" for i, name in enumerate(features)}
 
     def shaped(part: DataFrame) -> DataFrame:
-        numbers = [F.col(f"`{name}`").cast("double").alias(alias) for name, alias in safe.items()]
-        return part.select("*", *numbers)
-
-    names = list(safe.values())
-    fit_rows, score_rows = shaped(train), shaped(test)
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    fit_part = assembler.transform(zscore(fit_rows, names).withColumn("_y", F.col(label).cast("double")))
-    moments = fit_part.agg(F.stddev_pop("_y").alias("dev"), F.count("*").alias("n")).first()
+        numbers = [F.col(f"`{name}`").cast("double").alias(f"f{i}") for i, name in enumerate(features)]
+        rows = part.select("*", *numbers, F.col(label).cast("double").alias("_y"))
+        return VectorAssembler(inputCols=[f"f{i}" for i in range(len(features))], outputCol="raw").transform(rows)
+
+    fit_rows = shaped(train)
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(fit_rows)
+    moments = fit_rows.agg(F.stddev_pop("_y").alias("dev"), F.count("*").alias("n")).first()
+    shrink = (moments["n"] - 1) / moments["n"]
     model = LinearRegression(
         labelCol="_y",
         predictionCol="predicted",
         solver="normal",
         elasticNetParam=0.0,
         standardization=False,
-        regParam=alpha * (moments["dev"] or 1.0) / moments["n"],
-    ).fit(fit_part)
-    scored = model.transform(assembler.transform(zscore(score_rows, names, fitted_on=fit_rows)))
+        regParam=alpha * shrink * (moments["dev"] or 1.0) / moments["n"],
+    ).fit(scaler.transform(fit_rows))
     kept = [F.col(f"`{c}`") for c in test.columns]
     return RidgeFit(
         intercept=float(model.intercept),
-        coefficients=dict(zip(features, map(float, model.coefficients))),
-        predictions=scored.select(*kept, "predicted"),
+        coefficients={name: float(w) * math.sqrt(shrink) for name, w in zip(features, model.coefficients)},
+        predictions=model.transform(scaler.transform(shaped(test))).select(*kept, "predicted"),
     )
 
 
