@@ -112,37 +112,37 @@ def _literal(value: object) -> Column:
 
 
 def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int], groups: Sequence[str] = ()) -> DataFrame:
-    """The key at 1-based position `rank` of each group: columns *groups, cut_key, copies_wanted, n.
+    """The key at 1-based position `rank` of each group: columns *groups, cut_key, copies_wanted, copies, n.
 
     `rank` is an expression over the group's row count `n`.  `prefixes` are growing prefix lengths of the key; each
     level counts the keys sharing a prefix and keeps the one that holds the rank, so the number of distinct prefixes
-    per level bounds what is ordered.  `copies_wanted` says how many rows equal to `cut_key` are inside the cut.
+    per level bounds what is ordered.  `copies_wanted` of the
+    `copies` rows equal to `cut_key` are inside the cut.
     """
     groups = list(groups)
     rows = df.select(*groups, F.col(key).alias("_k")).na.drop()
-    sizes = rows.groupBy(*groups).agg(F.count("*").alias("n")).select(*groups, "n", rank.cast("long").alias("_rank"))
-    target = _settled(sizes, groups)
-    narrowed = rows
-    ordering = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    ordering = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = None
     for length in [*prefixes, None]:
         prefix = F.col("_k") if length is None else F.substring("_k", 1, length)
-        counts = narrowed.groupBy(*groups, prefix.alias("_p")).agg(F.count("*").alias("_c"))
+        if chosen is None:
+            inside = rows
+        else:
+            known = _with_group_facts(rows, chosen.select(*groups, F.col("_p").alias("_in")), groups)
+            inside = known.where(F.startswith("_k", F.col("_in")))
+        counts = inside.groupBy(*groups, prefix.alias("_p")).agg(F.count("*").alias("_c"))
         running = counts.withColumn("_upto", F.sum("_c").over(ordering))
-        chosen = (
-            _with_group_facts(running, target, groups)
-            .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank")))
-            .select(*groups, "n", "_p", (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank"))
-        )
-        if length is None:
-            return chosen.select(*groups, F.col("_p").alias("cut_key"), F.col("_rank").alias("copies_wanted"), "n")
-        chosen = _settled(chosen, groups)
-        narrowed = (
-            _with_group_facts(rows, chosen.select(*groups, "_p"), groups)
-            .where(prefix == F.col("_p"))
-            .select(*groups, "_k")
-        )
-        target = chosen.select(*groups, "n", "_rank")
-    raise AssertionError("unreachable")
+        if chosen is None:
+            ranked = running.withColumn("n", F.sum("_c").over(whole)).withColumn("_rank", rank.cast("long"))
+        else:
+            ranked = _with_group_facts(running, chosen.select(*groups, "n", "_rank"), groups)
+        holds = (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank"))
+        within = (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank")
+        chosen = _settled(ranked.where(holds).select(*groups, "n", "_p", within, "_c"), groups)
+    return chosen.select(
+        *groups, F.col("_p").alias("cut_key"), F.col("_rank").alias("copies_wanted"), F.col("_c").alias("copies"), "n"
+    )
 
 
 def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
@@ -151,12 +151,14 @@ def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     cut = ordered_cut(hashed, "_h", F.round(F.col("n") * F.lit(share)), prefixes=(3,)).first()
     if cut is None:
         return df.where(F.lit(False))
+    if cut["copies"] == cut["copies_wanted"]:
+        return hashed.where(F.col("_h") <= cut["cut_key"]).drop("_h")
     below = hashed.where(F.col("_h") < cut["cut_key"]).drop("_h")
     at_cut = (
         hashed.where(F.col("_h") == cut["cut_key"])
         .groupBy(*df.columns)
         .agg(F.count("*").alias("_c"))
-        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_c"), F.lit(cut["copies_wanted"])))).alias("_"))
+        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least("_c", F.lit(cut["copies_wanted"])))).alias("_"))
         .drop("_")
     )
     return below.unionByName(at_cut)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.prepare import stratified_split
+from tallyloom.session import spread, stored
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ def sentiment_classifier(
 ) -> SentimentFit:
     """Multinomial (or binary) logistic regression on weighted words, tested on a stratified part."""
     rows = cleaned.select(key, F.lower("sentiment").alias("sentiment"), F.split("clean_review", " ").alias("words"))
-    split = stratified_split(rows, "sentiment", key, test_share)
+    rows = stored(spread(rows), "review_words")
+    split = stored(stratified_split(rows, "sentiment", key, test_share), "review_split")
     indexer = StringIndexer(inputCol="sentiment", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
     stages = [
         indexer,
@@ -40,7 +42,8 @@ def sentiment_classifier(
         IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels),
     ]
     model = Pipeline(stages=stages).fit(split.where("not is_test"))
-    scored = model.transform(split.where("is_test"))
+    scored = model.transform(split.where("is_test")).select(key, "sentiment", "predicted", "label", "prediction", "probability")
+    scored = stored(scored, "review_scores")
     evaluate = lambda metric: float(MulticlassClassificationEvaluator(metricName=metric).evaluate(scored))
     return SentimentFit(
         predictions=scored.select(key, "sentiment", "predicted"),

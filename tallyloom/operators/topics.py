@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS, fit_bag_of_words
+from tallyloom.session import spread, stored
 
 # Topics, words shown per topic, passes over the reviews.
 TOPICS, TOP_WORDS, PASSES = 8, 12, 15
@@ -20,14 +21,17 @@ def fit_topics(
 ) -> tuple[LDAModel, list[str], DataFrame]:
     """Online LDA over bags of words with a learned document prior: model, vocabulary, the bags.
 
-    Each iteration takes the whole corpus, so iterations are passes.
+    Each iteration takes the whole corpus, so iterations are passes.  Tokens and bags are stored: every pass would
+    repeat the text work otherwise.
     """
+    tokenised = stored(spread(tokenised), "tokens")
     vectorizer = fit_bag_of_words(tokenised, min_documents, max_share)
     bags = vectorizer.transform(tokenised)
+    vectors = spread(stored(bags.select("bag"), "bags"))
     lda = LDA(
         k=k, maxIter=passes, seed=seed, optimizer="online", subsamplingRate=1.0, optimizeDocConcentration=True, featuresCol="bag"
     )
-    return lda.fit(bags), vectorizer.vocabulary, bags
+    return lda.fit(vectors), vectorizer.vocabulary, bags
 
 
 def topic_words(model: LDAModel, vocabulary: Sequence[str], top: int = TOP_WORDS) -> DataFrame:

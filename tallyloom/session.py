@@ -36,3 +36,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, f"stored/{name}-{next(_NUMBERS)}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on few rows: a frame with fewer partitions than cores is redistributed."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

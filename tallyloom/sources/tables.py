@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +37,18 @@ def read_result(spark: SparkSession, path: str, schema: T.StructType, format: st
 
 
 def write_warehouse(tables: dict[str, DataFrame], path: str, partitioned_by: dict[str, Sequence[str]]) -> None:
-    """Replace all tables of a schema, each by one Spark job; `partitioned_by` lays out the facts by year."""
-    for name, table in tables.items():
-        writer = table.write.mode("overwrite")
+    """Replace all tables of a schema, a few jobs at a time; `partitioned_by` lays out the facts by year."""
+
+    def write(name: str) -> None:
+        writer = tables[name].write.mode("overwrite")
         if name in partitioned_by:
             writer = writer.partitionBy(*partitioned_by[name])
         writer.parquet(f"{path}/{name}")
 
+    session = next(iter(tables.values())).sparkSession
+    with ThreadPool(4) as pool:
+        pool.map(inheritable_thread_target(session)(write), list(tables))
+
 
 def read_marts(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, DataFrame]:
     """The named tables of a warehouse schema."""
