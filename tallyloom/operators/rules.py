@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import one_row
-
 # The dimension sets, the least rows of a rule, and the factor over the baseline that asks for review.
 DIMENSION_SETS = (
     ("category",),
@@ -34,7 +32,8 @@ def decision_rules(
 ) -> DataFrame:
     """One rule per value combination of each dimension set with at least `min_rows` lines.
 
-    The lines are read once and summed at the finest combination; the sets are then rolled up from those few sums.
+    The lines are read once and summed at the finest combination; the sets, and the overall loss rate, are then rolled
+    up from those few sums.
     """
     names = list(dict.fromkeys(name for dims in dimension_sets for name in dims))
     cells = df.groupBy(*names).agg(
@@ -48,18 +47,22 @@ def decision_rules(
         F.count("profit_margin").alias("margin_rows"),
     )
     sums = [F.sum(c).alias(c) for c in cells.columns if c not in names]
-    overall = one_row(cells.agg(F.sum("rows").alias("rows"), F.sum("losses").alias("losses")))
     sets = [[F.col(name) for name in dims] for dims in dimension_sets]
-    grouped = cells.groupingSets(sets, *names).agg(F.grouping_id().alias("_gid"), *sums)
-    rules = grouped.select(
-        _condition(names, dimension_sets).alias("if_condition"),
-        "*",
-        (F.col("losses") / F.col("rows")).alias("loss_rate"),
-    ).where(F.col("if_condition").isNotNull() & (F.col("rows") >= min_rows))
-    rules = rules.withColumn("_all", overall).select(
-        "*",
-        F.col("_all.rows").alias("_total"),
-        F.try_divide(F.col("_all.losses").cast("double"), F.col("_all.rows").cast("double")).alias("baseline"),
+    everything = (1 << len(names)) - 1
+    grouped = cells.groupingSets([*sets, []], *names).agg(F.grouping_id().alias("_gid"), *sums)
+    # One row per value combination is left, so the total row can reach all of them through a window.
+    whole = Window.partitionBy(F.lit(0))
+    of_total = lambda name: F.max(F.when(F.col("_gid") == everything, F.col(name))).over(whole)
+    rules = (
+        grouped.select(
+            _condition(names, dimension_sets).alias("if_condition"),
+            "*",
+            (F.col("losses") / F.col("rows")).alias("loss_rate"),
+            of_total("rows").alias("_total"),
+            (of_total("losses") / of_total("rows")).alias("baseline"),
+        )
+        .where(F.col("if_condition").isNotNull())
+        .where(F.col("rows") >= min_rows)
     )
     decided = rule_decision(rules, "loss_rate", "baseline", factor)
     return decided.select(

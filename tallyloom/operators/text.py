@@ -78,7 +78,10 @@ def top_words(df: DataFrame, words: Column, n: int = 15, stops: Sequence[str] =
 
 
 def build_vocabulary(tokenised: DataFrame, min_documents: int = 3, max_share: float = 0.6, size: int = 100_000) -> DataFrame:
-    """Terms in at least `min_documents` documents and at most `max_share` of them, with their document counts."""
+    """Terms in at least `min_documents` documents and at most `max_share` of them, with their document counts.
+
+    A vocabulary has a greatest size, as a model's does; the terms in most documents stay.
+    """
     documents = tokenised.agg(F.count("*").alias("n"))
     limit = documents.select(F.col("n") * F.lit(max_share)).scalar()
     in_documents = (

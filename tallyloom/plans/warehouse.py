@@ -17,6 +17,7 @@ from tallyloom.operators.dimensions import (
     flat,
     number_rows,
 )
+from tallyloom.session import stored
 from tallyloom.sources.order_lines import LINE_ORDER
 from tallyloom.sources.tables import read_marts, write_warehouse
 
@@ -77,12 +78,12 @@ def galaxy_facts(lines: DataFrame, dims: Tables) -> Tables:
 def snowflake_dimensions(lines: DataFrame) -> Tables:
     """Normalised dimensions: each level holds its own value and its parent's key.
 
-    Each hierarchy is reduced to its distinct combinations first, so the lines are scanned once per hierarchy.
+    Each hierarchy is reduced to its stored distinct combinations first, so the lines are scanned once per hierarchy.
     """
-    people = lines.select("customer_name", "segment").distinct().persist()
-    places = lines.select(*PLACE).distinct().persist()
-    kinds = lines.select("category", "sub_category").distinct().persist()
-    handling = lines.select(*SHIPPING).distinct().persist()
+    people = stored(lines.select("customer_name", "segment").distinct(), "combinations")
+    places = stored(lines.select(*PLACE).distinct(), "combinations")
+    kinds = stored(lines.select("category", "sub_category").distinct(), "combinations")
+    handling = stored(lines.select(*SHIPPING).distinct(), "combinations")
 
     segment = dim(people, ["segment"], "segment_id")
     customer = child_dim(people, "customer_name", ["segment"], segment, "segment_id", "customer_id")

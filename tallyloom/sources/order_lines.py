@@ -28,7 +28,7 @@ def load_order_lines(spark: SparkSession, path: str, multiline: bool = False) ->
     Everything is read as text, so there is no inference pass.  `multiline` is needed only when quoted values hold
     line breaks; it makes each file one split.
     """
-    raw = _read_text_table(spark, path, multiline)
+    raw = read_text_table(spark, path, multiline)
     columns = []
     for name in raw.columns:
         if name in NUMBER_TYPES:
@@ -44,7 +44,8 @@ def load_order_lines(spark: SparkSession, path: str, multiline: bool = False) ->
     return derive_order_line_columns(raw.select(*columns))
 
 
-def _read_text_table(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+def read_text_table(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """Delimited text with a header, all columns as text, names made regular."""
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import strip
-from tallyloom.sources.order_lines import _read_text_table
+from tallyloom.sources.order_lines import read_text_table
 
 REVIEW_COLUMNS = {
     "review_text": ("review", "text", "comment"),
@@ -15,12 +15,13 @@ REVIEW_COLUMNS = {
 NUMERIC_COLUMNS = ("customer_rating", "response_time_hours")
 
 
-def load_reviews(spark: SparkSession, path: str) -> DataFrame:
+def load_reviews(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read reviews, trim all text, find the review and sentiment columns by name, drop rows without a review.
 
-    Review text holds line breaks inside quotes, so a file is one split: spread a large source over many files.
+    With line breaks inside quotes a file is one split, so a large source should come in many files; pass
+    `multiline=False` where there are none and files may be split.
     """
-    raw = find_columns(_read_text_table(spark, path, multiline=True))
+    raw = find_columns(read_text_table(spark, path, multiline))
     columns = []
     for name in raw.columns:
         column = strip(F.col(name))
