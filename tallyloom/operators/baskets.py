@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.session import stored
 
 WIDE_ORDER = 500
+WIDE_SALTS = 64
 
 
 def baskets(df: DataFrame, order_key: str, item: str) -> DataFrame:
@@ -72,7 +73,9 @@ def frequent_triples(basket_rows: DataFrame, min_support: float, wide: int = WID
     counts = _count_pairs(basket_rows, item_supports(basket_rows), least, wide, wide_orders)
     pairs = stored(counts.select("item_a", "item_b"), "frequent_pairs")
     narrow, wide_rows = _split(basket_rows, wide)
-    triples = _grow(_occurrences(narrow, pairs), pairs)
+    members = pairs.select(F.explode(F.array("item_a", "item_b")).alias("item")).distinct()
+    in_narrow = _pairs_in_orders(narrow.join(members, "item", "left_semi")).join(pairs, ["item_a", "item_b"])
+    triples = _grow(in_narrow, pairs)
     if wide_orders:
         in_wide = _occurrences(wide_rows, pairs)
         repeated = in_wide.groupBy("item_a", "item_b").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
@@ -100,7 +103,7 @@ def _count_pairs(basket_rows: DataFrame, supports: DataFrame, least: int, wide:
     pairs = _pair_up(narrow)
     if wide_orders:
         repeated = wide_rows.groupBy("item").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
-        from_wide = _pair_up(wide_rows.join(repeated.select("item"), "item"))
+        from_wide = _pair_up(wide_rows.join(repeated.select("item"), "item"), salts=WIDE_SALTS)
         pairs = _add_wide(pairs, from_wide, wide_rows, wide_orders, least)
     return pairs.where(F.col("orders_together") >= least)
 
@@ -114,13 +117,23 @@ def _named(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("order_id", F.col("item").alias(name))
 
 
-def _pair_up(rows: DataFrame) -> DataFrame:
-    both = _named(rows, "item_a").join(_named(rows, "item_b"), "order_id").where("item_a < item_b")
-    return both.groupBy("item_a", "item_b").agg(F.count("*").alias("orders_together"))
+def _pairs_in_orders(rows: DataFrame, salts: int = 1) -> DataFrame:
+    """The item pairs of each order.  With `salts`, one order's pairs are made by that many tasks."""
+    left, right = _named(rows, "item_a"), _named(rows, "item_b")
+    keys = ["order_id"]
+    if salts > 1:
+        left = left.withColumn("_salt", F.pmod(F.xxhash64("item_a"), F.lit(salts)).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys.append("_salt")
+    return left.join(right, keys).where("item_a < item_b").select("order_id", "item_a", "item_b")
+
+
+def _pair_up(rows: DataFrame, salts: int = 1) -> DataFrame:
+    return _pairs_in_orders(rows, salts).groupBy("item_a", "item_b").agg(F.count("*").alias("orders_together"))
 
 
 def _occurrences(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The orders that hold all items of each given set: a lookup per item, starting from the sets."""
+    """The wide orders that hold all items of each given set: a lookup per item, starting from the sets."""
     first, *others = [name for name in sets.columns if name.startswith("item_")]
     found = sets.join(_named(rows, first), first)
     for name in others:
