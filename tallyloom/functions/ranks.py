@@ -146,7 +146,10 @@ def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int],
 
 
 def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """The rows with the lowest hash of `keys`, exactly round(share * rows) of them when the keys identify a row."""
+    """The rows with the lowest hash of `keys`, exactly round(share * rows) of them.
+
+    `keys` should identify a row; rows that share the last hash are taken in the order of all columns.
+    """
     hashed = df.withColumn("_h", hash_key(*keys))
     cut = ordered_cut(hashed, "_h", F.round(F.col("n") * F.lit(share)), prefixes=(3,)).first()
     if cut is None:
@@ -154,11 +157,13 @@ def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     if cut["copies"] == cut["copies_wanted"]:
         return hashed.where(F.col("_h") <= cut["cut_key"]).drop("_h")
     below = hashed.where(F.col("_h") < cut["cut_key"]).drop("_h")
+    tied = hashed.where(F.col("_h") == cut["cut_key"]).groupBy(*df.columns).agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1))
+    taken = F.least(F.col("_c"), F.lit(cut["copies_wanted"]) - F.coalesce(before, F.lit(0)))
     at_cut = (
-        hashed.where(F.col("_h") == cut["cut_key"])
-        .groupBy(*df.columns)
-        .agg(F.count("*").alias("_c"))
-        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least("_c", F.lit(cut["copies_wanted"])))).alias("_"))
+        tied.withColumn("_taken", taken)
+        .where("_taken > 0")
+        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken"))).alias("_"))
         .drop("_")
     )
     return below.unionByName(at_cut)

@@ -27,7 +27,7 @@ class SentimentFit:
 
 
 def sentiment_classifier(
-    cleaned: DataFrame, key: str = "review_id", features: int = 1 << 16, test_share: float = 0.2, max_iter: int = 30
+    cleaned: DataFrame, key: str = "review_id", features: int = 1 << 14, test_share: float = 0.2, max_iter: int = 30
 ) -> SentimentFit:
     """Multinomial (or binary) logistic regression on weighted words, tested on a stratified part."""
     rows = cleaned.select(key, F.lower("sentiment").alias("sentiment"), F.split("clean_review", " ").alias("words"))

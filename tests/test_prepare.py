@@ -71,6 +71,8 @@ def test_sample_size_is_exact_with_copies(spark):
     assert len(sample) == 100
     assert not Counter(map(tuple, sample)) - Counter(map(tuple, frame.collect()))
     assert sorted(map(tuple, P.hash_sample(frame.repartition(3), 0.05).collect())) == sorted(map(tuple, sample))
+    tied = spark.createDataFrame([("k", n % 7) for n in range(200)], "t string, v int")
+    assert P.hash_sample(tied, 0.3, ["t"]).count() == 60
     copies = spark.createDataFrame([("same", 1)] * 200, "t string, v int")
     assert P.hash_sample(copies, 0.05).count() == 10
     assert P.hash_sample(copies.limit(0), 0.05).count() == 0
