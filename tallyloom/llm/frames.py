@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Most rows of one Arrow batch; texts of 100,000 characters then make batches of some 30 MB.
-BATCH_ROWS = 256
+#: Most bytes of one Arrow batch (a longer row is a batch of its own): a task process works on several times that.
+BATCH_BYTES = 8 << 20
 
 
 def find_package(df: DataFrame) -> None:
@@ -24,11 +24,12 @@ def find_package(df: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
 
 
-def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
-    """Let Python tasks of this session take at most `rows` rows at a time, because texts can be long."""
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= rows:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(df: DataFrame) -> None:
+    """Bound the bytes that Python tasks of this session take at a time, because texts and indexes can be long."""
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    set_to = (conf.get(name, None) or "").rstrip("bB")
+    if not (set_to.isdigit() and int(set_to) <= BATCH_BYTES):
+        conf.set(name, str(BATCH_BYTES))
 
 
 def map_columns(

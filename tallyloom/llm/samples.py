@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import map_columns
@@ -33,3 +33,19 @@ def gram_features(rows: DataFrame, grams: Grams) -> tuple[list[tuple[np.ndarray,
     told = map_columns(rows, "buckets binary, counts binary", compute, ["text"], ["id", "label"])
     told = sorted(told.collect(), key=lambda r: r["id"])
     return [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in told], [r["label"] for r in told]
+
+
+def labelled(
+    docs: DataFrame, labels: DataFrame, train_on: Column, label: str, text: str, id_column: str, most: int
+) -> DataFrame:
+    """About `most` rows of (id, text, label): documents with a 0/1 label where `train_on` (of the labels' columns) holds.
+
+    The sample is drawn from the labels, so that only its ids, at most about `most`, meet the documents; ids that
+    repeat among labels or documents count once.
+    """
+    marks = labels.where(train_on & F.col(f"`{label}`").isin(0, 1) & F.col(f"`{id_column}`").isNotNull())
+    marks = marks.groupBy(F.col(f"`{id_column}`").alias("id")).agg(F.min(f"`{label}`").cast("int").alias("label"))
+    share = min(_PARTS, int(_PARTS * most / max(1, marks.count())))
+    chosen = marks.where(F.pmod(F.xxhash64("id", F.lit(20)), F.lit(_PARTS)) < share)
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
+    return rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
