@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, shards, toxicity
+from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, shards, substring, toxicity
 from tallyloom.llm.frames import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2_byte_bpe(spark, folder):
     return bpe.round_trip(documents(spark, folder), path, public_tokenizers.PATTERN, keep=["doc_id"])
 
 
+@query
+def op3_repeated_passages(spark, folder):
+    return substring.deduplicate(documents(spark, folder)).select("doc_id", "text", "removed")
+
+
 def held_out(docs: DataFrame, modulus: int, left: int) -> DataFrame:
     """doc_id, text and whether the id's crc32 leaves the remainder of the held-out documents."""
     held = F.coalesce(remainder("doc_id", modulus) == left, F.lit(False))
