@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, shards, substring, toxicity
 from tallyloom.llm.frames import remainder
+from tallyloom.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(function):
@@ -103,3 +103,6 @@ def op9_nearest(spark, folder):
 def op10_mixing(spark, folder):
     docs = documents(spark, folder)
     return mixing.mix(docs, keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+__all__ = ("ORACLES", "QUERIES")
