@@ -1,10 +1,10 @@
 """Exact order statistics without sorting a whole table, or a whole group, in one task.
 
-`exact_quantiles` brackets each wanted rank with a mergeable sketch, counts what lies outside the bracket, and orders
-only the values inside it.  The sketch decides how much is ordered, never the answer: if a bracket misses, the side
-that holds the rank is ordered instead.
+`exact_quantiles` brackets each wanted rank with a mergeable sketch, counts what lies outside the bracket, and narrows
+the values inside it by counting them in ranges, round by round, until few enough are left to order.  The sketch decides
+how many rounds that takes, never the answer: if a bracket misses, the side that holds the rank is narrowed instead.
 
-`ordered_cut` finds the k-th smallest text key by counting key prefixes, level by level.
+`ordered_cut` finds the k-th smallest text key by counting key prefixes, level by level, until few enough keys are left.
 """
 
 from __future__ import annotations
@@ -18,9 +18,15 @@ from tallyloom.functions.columns import hash_key
 from tallyloom.session import stored
 
 SKETCH_ACCURACY = 10_000
+#: Distinct values that one task orders, ranges of a narrowing round, and digits a level adds to a prefix.
+MOST_ORDERED = 100_000
+RANGES = 4_096
+DIGITS = 3
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = (), most: int = MOST_ORDERED
+) -> DataFrame:
     """Linearly interpolated quantiles per group: columns *groups, n, q (array in the order of `probabilities`).
 
     Missing values and missing group keys are left out.
@@ -71,6 +77,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
         .groupBy(*groups, "n", "_w", "_v")
         .agg(F.count("*").alias("_copies"))
     )
+    inside = _narrowed(inside, groups, most)
     running = Window.partitionBy(*groups, "_w.i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_upto", F.sum("_copies").over(running) + F.col("_w.skipped"))
     at_first = F.min(F.when(F.col("_upto") > F.col("_w.first"), F.col("_v")))
@@ -85,6 +92,35 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float], g
     return points.groupBy(*groups, "n").agg(F.array(*slots).alias("q"))
 
 
+def _narrowed(inside: DataFrame, groups: list[str], most: int) -> DataFrame:
+    """Values (with copies) that hold the wanted ranks, at most `most` of them per group and rank: counted in equal ranges
+    between their ends, all but the ranges that hold a rank go, and what was below counts as skipped."""
+    names = [*groups, "n", "_w", "_v", "_copies"]
+    keys = [*groups, "_i"]
+    left = None
+    while True:
+        inside = stored(inside.select(*names).withColumn("_i", F.col("_w.i")), "bracketed")
+        sizes = inside.groupBy(*keys).agg(F.count("*").alias("_size"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        largest = sizes.agg(F.max("_size").alias("m")).first()["m"] or 0
+        if largest <= most or largest == left:  # no ranges part values such as infinities
+            return inside
+        left = largest
+        width = F.col("_most") - F.col("_least")
+        place = F.least(F.floor((F.col("_v") - F.col("_least")) / width * RANGES), F.lit(RANGES - 1))
+        apart = (width > 0) & (width < F.lit(float("inf")))
+        placed = inside.join(stored(sizes, "ends"), keys).withColumn("_range", F.when(apart, place).otherwise(0))
+        counts = placed.groupBy(*keys, "_range").agg(F.sum("_copies").alias("_c"), F.first("_w").alias("_own"))
+        order = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)  # RANGES rows
+        counts = counts.withColumn("_to", F.sum("_c").over(order) + F.col("_own.skipped"))
+        from_ = F.col("_to") - F.col("_c")
+        kept = counts.where((F.col("_to") > F.col("_own.first")) & (from_ <= F.col("_own.last")))
+        below = F.min(from_).over(Window.partitionBy(*keys)).alias("_skipped")
+        kept = kept.select(*keys, "_range", below)
+        inside = placed.join(stored(kept, "ranges"), [*keys, "_range"]).withColumn(
+            "_w", F.col("_w").withField("skipped", F.col("_skipped"))
+        )
+
+
 def _settled(facts: DataFrame, groups: list[str]) -> DataFrame:
     """Per-group facts computed once: a stored table, or a local row when there is one group only."""
     if groups:
@@ -111,26 +147,22 @@ def _literal(value: object) -> Column:
     return F.lit(value)
 
 
-def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int], groups: Sequence[str] = ()) -> DataFrame:
+def ordered_cut(
+    df: DataFrame, key: str, rank: Column, first: int = DIGITS, groups: Sequence[str] = (), most: int = MOST_ORDERED
+) -> DataFrame:
     """The key at 1-based position `rank` of each group: columns *groups, cut_key, copies_wanted, copies, n.
 
-    `rank` is an expression over the group's row count `n`.  `prefixes` are growing prefix lengths of the key; each
-    level counts the keys sharing a prefix and keeps the one that holds the rank, so the number of distinct prefixes
-    per level bounds what is ordered.  `copies_wanted` of the
-    `copies` rows equal to `cut_key` are inside the cut.
+    `rank` is an expression over the group's row count `n`.  Keys are counted by their first characters, then by
+    `DIGITS` more in each level, and only those that share the prefix that holds the rank go on, until no group has more
+    than `most` rows left; `copies_wanted` of the `copies` rows equal to `cut_key` are inside the cut.
     """
     groups = list(groups)
-    rows = df.select(*groups, F.col(key).alias("_k")).na.drop()
+    inside = df.select(*groups, F.col(key).alias("_k")).na.drop()
     whole = Window.partitionBy(*(groups or [F.lit(0)]))
     ordering = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    chosen = None
-    for length in [*prefixes, None]:
+    chosen, length = None, first
+    while True:
         prefix = F.col("_k") if length is None else F.substring("_k", 1, length)
-        if chosen is None:
-            inside = rows
-        else:
-            known = _with_group_facts(rows, chosen.select(*groups, F.col("_p").alias("_in")), groups)
-            inside = known.where(F.startswith("_k", F.col("_in")))
         counts = inside.groupBy(*groups, prefix.alias("_p")).agg(F.count("*").alias("_c"))
         running = counts.withColumn("_upto", F.sum("_c").over(ordering))
         if chosen is None:
@@ -140,30 +172,47 @@ def ordered_cut(df: DataFrame, key: str, rank: Column, prefixes: Sequence[int],
         holds = (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank"))
         within = (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank")
         chosen = _settled(ranked.where(holds).select(*groups, "n", "_p", within, "_c"), groups)
+        if length is None:
+            break
+        known = _with_group_facts(inside, chosen.select(*groups, F.col("_p").alias("_in")), groups)
+        inside = stored(known.where(F.startswith("_k", F.col("_in"))).select(*groups, "_k"), "sharing_prefix")
+        facts = chosen.agg(F.max("_c").alias("rows"), F.max(F.length("_p")).alias("reached")).first()
+        # One key of many rows is no longer than itself: then its rows are all that is left.
+        length = length + DIGITS if (facts["rows"] or 0) > most and facts["reached"] == length else None
     return chosen.select(
         *groups, F.col("_p").alias("cut_key"), F.col("_rank").alias("copies_wanted"), F.col("_c").alias("copies"), "n"
     )
 
 
-def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """The rows with the lowest hash of `keys`, exactly round(share * rows) of them.
+def mark_lowest(
+    df: DataFrame, key: Column, rank: Column, name: str, first: int = DIGITS, groups: Sequence[str] = (), most: int = MOST_ORDERED
+) -> DataFrame:
+    """Adds `name`: true for exactly `rank` rows of each group, those with the lowest keys.
 
-    `keys` should identify a row; rows that share the last hash are taken in the order of all columns.
+    Rows of equal keys go by the hash of all their columns; rows equal in all of them are counted, and that many marked.
+    Rows whose key or group is missing are false.
     """
-    hashed = df.withColumn("_h", hash_key(*keys))
-    cut = ordered_cut(hashed, "_h", F.round(F.col("n") * F.lit(share)), prefixes=(3,)).first()
-    if cut is None:
-        return df.where(F.lit(False))
-    if cut["copies"] == cut["copies_wanted"]:
-        return hashed.where(F.col("_h") <= cut["cut_key"]).drop("_h")
-    below = hashed.where(F.col("_h") < cut["cut_key"]).drop("_h")
-    tied = hashed.where(F.col("_h") == cut["cut_key"]).groupBy(*df.columns).agg(F.count("*").alias("_c"))
-    before = F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1))
-    taken = F.least(F.col("_c"), F.lit(cut["copies_wanted"]) - F.coalesce(before, F.lit(0)))
-    at_cut = (
-        tied.withColumn("_taken", taken)
-        .where("_taken > 0")
-        .select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken"))).alias("_"))
-        .drop("_")
-    )
-    return below.unionByName(at_cut)
+    groups, columns = list(groups), df.columns
+    keyed = df.withColumn("_key", F.concat(key, hash_key(*columns)))
+    cuts = ordered_cut(keyed, "_key", rank, first, groups, most).select(*groups, "cut_key", "copies_wanted", "copies")
+    cuts = _settled(cuts, groups)
+    if groups:
+        placed = keyed.join(cuts, groups, "left").select(*columns, "_key", "cut_key", "copies_wanted", "copies")
+    else:
+        single = cuts.first()
+        values = single.asDict() if single else {"cut_key": None, "copies_wanted": None, "copies": None}
+        placed = keyed.select("*", *[F.lit(v).cast("string" if k == "cut_key" else "long").alias(k) for k, v in values.items()])
+    split = F.coalesce((F.col("_key") == F.col("cut_key")) & (F.col("copies_wanted") < F.col("copies")), F.lit(False))
+    below = F.coalesce(F.col("_key") <= F.col("cut_key"), F.lit(False))
+    if cuts.where("copies_wanted < copies").isEmpty():
+        return placed.select(*columns, below.alias(name))
+    alike = placed.where(split).groupBy(*columns, "copies_wanted").agg(F.count("*").alias("_c"))
+    copies = alike.withColumn("_at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
+    marked = copies.select(*columns, (F.col("_at") <= F.col("copies_wanted")).alias(name))
+    return placed.where(~split).select(*columns, below.alias(name)).unionByName(marked)
+
+
+def take_lowest(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """The rows with the lowest hash of `keys`, exactly round(share * rows) of them."""
+    marked = mark_lowest(df, hash_key(*keys), F.round(F.col("n") * F.lit(share)), "_taken")
+    return marked.where("_taken").drop("_taken")

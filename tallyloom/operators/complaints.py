@@ -95,9 +95,8 @@ def service_metrics(complaints: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
-    """Share of each value in percent."""
+    """Share of each value in percent; a missing value is a value."""
     counts = df.groupBy(F.lower(F.col(column)).alias("value")).agg(F.count("*").alias("rows"))
-    counts = counts.where(F.col("value").isNotNull())
     total = counts.agg(F.sum("rows").alias("n")).scalar()
     return counts.select("value", "rows", (100.0 * F.col("rows") / total).alias("share_pct"))
 

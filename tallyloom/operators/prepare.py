@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import band, hash_key, one_row, signed_log
-from tallyloom.functions.ranks import exact_quantiles, ordered_cut, take_lowest
+from tallyloom.functions.ranks import exact_quantiles, mark_lowest, take_lowest
 
 MAX_LEVELS = 1_000
 
@@ -110,9 +110,12 @@ def one_hot_drop_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Class to its index among the sorted classes (lower-cased)."""
-    classes = one_row(df.agg(F.array_sort(F.collect_set(F.lower(F.col(column)))).alias("c")))["c"]  # class labels
-    return df.withColumn(name, (F.array_position(classes, F.lower(F.col(column))) - 1).cast("int"))
+    """Class to its index among the sorted classes (lower-cased); the classes are a table, joined back."""
+    known = F.lower(F.col(column))
+    classes = df.select(known.alias("_class")).na.drop().distinct()
+    place = (F.row_number().over(Window.orderBy("_class")) - 1).cast("int")  # one row per class
+    classes = classes.withColumn(name, place)
+    return df.withColumn("_class", known).join(classes, "_class", "left").drop("_class")
 
 
 def hash_sample(df: DataFrame, share: float = 0.05, keys: Sequence[str] | None = None) -> DataFrame:
@@ -123,21 +126,13 @@ def hash_sample(df: DataFrame, share: float = 0.05, keys: Sequence[str] | None =
 def chronological_split(df: DataFrame, date: str, key: str, train_share: float = 0.8) -> DataFrame:
     """Mark the first whole part of `train_share` of the rows by date as training rows (`is_train`).
 
-    Rows of one date are ordered by the hash of their key.  Days are counted first, then hash prefixes within the day
-    the cut falls in; only one prefix of one day is ordered.
+    Rows of one date are ordered by the hash of their key; days are counted first, then hash prefixes within the day
+    that the cut falls in.
     """
-    keyed = df.withColumn("_key", F.concat(F.date_format(date, "yyyy-MM-dd"), hash_key(key)))
-    cut = ordered_cut(keyed, "_key", F.floor(F.col("n") * F.lit(train_share)), prefixes=(10, 13))
-    found = cut.first()
-    is_train = F.coalesce(F.col("_key") <= found["cut_key"], F.lit(False)) if found else F.lit(False)
-    return keyed.withColumn("is_train", is_train).drop("_key")
+    ordered = F.concat(F.date_format(date, "yyyy-MM-dd"), hash_key(key))
+    return mark_lowest(df, ordered, F.floor(F.col("n") * F.lit(train_share)), "is_train", first=10)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2) -> DataFrame:
     """Mark round(test_share * rows) rows of each class as test rows (`is_test`), chosen by hash."""
-    keyed = df.withColumn("_key", hash_key(key))
-    cuts = ordered_cut(keyed, "_key", F.round(F.col("n") * F.lit(test_share)), prefixes=(3,), groups=[label])
-    entries = F.collect_list(F.struct(F.col(label), F.col("cut_key")))  # one entry per class label
-    lookup = one_row(cuts.agg(F.map_from_entries(entries).alias("m")))["m"]
-    is_test = F.coalesce(F.col("_key") <= F.try_element_at(lookup, F.col(label)), F.lit(False))
-    return keyed.withColumn("is_test", is_test).drop("_key")
+    return mark_lowest(df, hash_key(key), F.round(F.col("n") * F.lit(test_share)), "is_test", groups=[label])

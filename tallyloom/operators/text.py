@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import stored
+
 # Patterns removed from reviews.  White space and digits are meant in the Unicode sense.
 TAGS = r"<[^\n]*?>"
 LINKS = r"(?U)http[^\s\x1c-\x1f]+"
@@ -77,11 +79,8 @@ def top_words(df: DataFrame, words: Column, n: int = 15, stops: Sequence[str] =
     return kept.orderBy(F.col("count").desc(), "word").limit(n)
 
 
-def build_vocabulary(tokenised: DataFrame, min_documents: int = 3, max_share: float = 0.6, size: int = 100_000) -> DataFrame:
-    """Terms in at least `min_documents` documents and at most `max_share` of them, with their document counts.
-
-    A vocabulary has a greatest size, as a model's does; the terms in most documents stay.
-    """
+def build_vocabulary(tokenised: DataFrame, min_documents: int = 3, max_share: float = 0.6) -> DataFrame:
+    """Terms in at least `min_documents` documents and at most `max_share` of them, with their document counts."""
     documents = tokenised.agg(F.count("*").alias("n"))
     limit = documents.select(F.col("n") * F.lit(max_share)).scalar()
     in_documents = (
@@ -89,23 +88,33 @@ def build_vocabulary(tokenised: DataFrame, min_documents: int = 3, max_share: fl
         .groupBy("term")
         .agg(F.count("*").alias("documents"))
     )
-    kept = in_documents.where((F.col("documents") >= min_documents) & (F.col("documents") <= limit))
-    return kept.orderBy(F.col("documents").desc(), "term").limit(size)
+    return in_documents.where((F.col("documents") >= min_documents) & (F.col("documents") <= limit))
 
 
-def fit_bag_of_words(tokenised: DataFrame, min_documents: int = 3, max_share: float = 0.6, size: int = 100_000) -> CountVectorizerModel:
-    """Vocabulary model under the same limits as `build_vocabulary`."""
-    vectorizer = CountVectorizer(
-        inputCol="tokens", outputCol="bag", minDF=float(min_documents), maxDF=max_share, vocabSize=size
-    )
-    return vectorizer.fit(tokenised)
+def fit_bag_of_words(
+    tokenised: DataFrame, min_documents: int = 3, max_share: float = 0.6, most: int = 1_000_000
+) -> CountVectorizerModel:
+    """The terms of `build_vocabulary` as a vectoriser, most frequent first.
+
+    A model holds its vocabulary on every node: more than `most` terms are an error, never a cut.
+    """
+    terms = build_vocabulary(tokenised, min_documents, max_share)
+    terms = terms.orderBy(F.col("documents").desc(), "term").limit(most + 1).collect()
+    if len(terms) > most:
+        raise ValueError(f"more than {most} terms; raise min_documents or most")
+    if not terms:
+        raise ValueError("no term is in enough documents")
+    return CountVectorizerModel.from_vocabulary([row["term"] for row in terms], inputCol="tokens", outputCol="bag")
 
 
 def bag_of_words(tokenised: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
-    """Sparse counts per document in long form: key, term, count, for the terms of the vocabulary."""
+    """Sparse counts per document in long form: key, term, count, for the terms of the vocabulary.
+
+    Words outside the vocabulary go before anything is counted.
+    """
     words = tokenised.select(key, F.explode("tokens").alias("term"))
-    counts = words.groupBy(key, "term").agg(F.count("*").alias("count"))
-    return counts.join(vocabulary.select("term"), "term").select(key, "term", "count")
+    known = words.join(vocabulary.select("term"), "term")
+    return known.groupBy(key, "term").agg(F.count("*").alias("count"))
 
 
 def encoding_vocabulary(cleaned: DataFrame, size: int = 5_000, column: str = "clean_review") -> DataFrame:
@@ -120,13 +129,17 @@ def encoding_vocabulary(cleaned: DataFrame, size: int = 5_000, column: str = "cl
 
 
 def sequence_encode(cleaned: DataFrame, key: str, size: int = 5_000, length: int = 100, column: str = "clean_review") -> DataFrame:
-    """Each review as `length` word ids, cut or padded at the end; the vocabulary counts whole reviews."""
+    """Each review as `length` word ids, cut or padded at the end; the vocabulary counts whole reviews.
+
+    One row per review, whether or not its key repeats: each review gets a number of its own, fixed in a stored table.
+    """
     vocabulary = encoding_vocabulary(cleaned, size, column)
     words = F.slice(F.filter(F.split(column, " "), lambda w: w != ""), 1, length)
-    placed = cleaned.select(key, F.posexplode_outer(words).alias("at", "word"))
-    known = placed.join(F.broadcast(vocabulary), "word", "left")  # at most `size` rows
+    numbered = stored(cleaned.select(key, words.alias("_words"), F.monotonically_increasing_id().alias("_row")), "sequences")
+    placed = numbered.select("_row", key, F.posexplode_outer("_words").alias("at", "word"))
+    known = placed.join(F.broadcast(vocabulary), "word", "left")  # fewer than `size` rows
     code = F.struct("at", F.coalesce("id", F.lit(1)).alias("id"))
-    gathered = known.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), code))).alias("_c"))
+    gathered = known.groupBy("_row", key).agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), code))).alias("_c"))
     ids = F.transform("_c", lambda c: c["id"])  # at most `length` per review
     padding = F.array_repeat(F.lit(0), F.lit(length) - F.size(ids))
     return gathered.select(key, F.concat(ids, padding).alias("sequence"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from tallyloom.sources.tables import read_marts
 
 SOURCE_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "documents", "labels")
 
-_READY: dict[tuple[str, str], object] = {}
+_READY: dict[tuple[str, str, tuple[str, ...]], object] = {}
+_BUILDING = threading.RLock()
 
 
 def source_tables(spark: SparkSession, folder: str) -> Tables:
@@ -33,11 +35,14 @@ def folder_for(spark: SparkSession, folder: str, name: str) -> str:
 
 
 def _once(spark: SparkSession, folder: str, name: str, make: Callable[[str], object]) -> object:
-    path = folder_for(spark, folder, name)
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READY:
-        _READY[key] = make(path)
-    return _READY[key]
+    """What `make` gives for a path, once for an application, a folder and the source files now in it."""
+    files = tuple(sorted(f for table in SOURCE_TABLES for f in spark.read.parquet(f"{folder}/{table}.parquet").inputFiles()))
+    path = folder_for(spark, folder, f"{name}-{hashlib.md5(repr(files).encode()).hexdigest()[:12]}")
+    key = (spark.sparkContext.applicationId, path, files)
+    with _BUILDING:
+        if key not in _READY:
+            _READY[key] = make(path)
+        return _READY[key]
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +50,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
     def make(path: str) -> str:
         lines = order_lines_from_tables(source_tables(spark, folder))
-        lines.withColumn("year", F.year("order_date")).write.mode("overwrite").partitionBy("year").parquet(path)
+        lines.withColumn("year", F.year("order_date")).hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
         return path
 
     return spark.read.parquet(_once(spark, folder, "order_lines", make))
@@ -66,6 +71,11 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "reviews", lambda: reviews_from_tables(source_tables(spark, folder)))
 
 
+def labelled_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The reviews whose sentiment is known."""
+    return reviews(spark, folder).where("sentiment IS NOT NULL")
+
+
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order."""
     return _table(spark, folder, "order_level", lambda: order_level(order_lines(spark, folder)))

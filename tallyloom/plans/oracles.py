@@ -5,7 +5,8 @@ Nothing here is used by the operators.
 
 from __future__ import annotations
 
-from tallyloom.operators.complaints import COMPLAINT_STOPS
+from tallyloom.operators.complaints import COMPLAINT_STOPS, COMPLAINT_THEMES, theme_column
+from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS
 from tallyloom.plans import queries as N
 
 ORDER_LINES = """
@@ -57,12 +58,13 @@ FROM order_lines0
 REVIEWS = """
 reviews AS (
 SELECT d.doc_id AS review_id, d.text AS review_text,
-       CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive' ELSE 'neutral' END AS sentiment,
+       CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive' WHEN l.doc_id IS NOT NULL THEN 'neutral' END AS sentiment,
        CAST(1 + d.doc_id % 5 AS INT) AS customer_rating,
        CAST(d.n_chars % 97 AS DOUBLE) AS response_time_hours,
        CASE WHEN d.doc_id % 3 = 0 THEN 'yes' ELSE 'no' END AS issue_resolved
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-)"""
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+),
+labelled AS (SELECT * FROM reviews WHERE sentiment IS NOT NULL)"""
 
 
 def lines(body: str, *ctes: str) -> str:
@@ -349,17 +351,18 @@ CAST(sum(quantity) AS BIGINT) AS total_quantity, {r("avg(CAST(discount AS DOUBLE
 count(*) AS total_lines, {extra} {margin} + 0.0 AS margin_pct FROM {source} f {where})"""
 
 
-O["kpi_summary"] = lines(_kpi("f", f"WHERE {SELECTED}", ""), FACTS)
+O["kpi_summary"] = lines(_kpi("f", "", ""), FACTS)
+O["kpi_summary_filtered"] = lines(_kpi("f", f"WHERE {SELECTED}", ""), FACTS)
 O["kpi_summary_orders"] = lines(_kpi("lines", "", "count(DISTINCT order_id) AS total_orders,"))
 O["monthly_category_sales"] = lines(
     f"""SELECT CAST(month AS VARCHAR) AS month, category, CAST(s AS DOUBLE) AS total_sales,
 {r("(SELECT avg(CAST(m AS DOUBLE)) FROM (SELECT sum(s) AS m FROM t GROUP BY month))")} AS mean_month_sales FROM t""",
     FACTS,
-    f"t AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, category, sum(sales) AS s FROM f WHERE {SELECTED} GROUP BY ALL)",
+    f"t AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, category, sum(sales) AS s FROM f GROUP BY ALL)",
 )
 _METRICS = f"""m AS (SELECT a.*, b.total_shipping FROM
 (SELECT region, sum(sales) AS total_sales, sum(profit) AS total_profit, avg(CAST(discount AS DOUBLE)) AS avg_discount,
-CAST(sum(quantity) AS BIGINT) AS total_quantity FROM f WHERE year IN {listed(N.YEARS)} AND category IN {listed(N.CATEGORIES)} GROUP BY region) a
+CAST(sum(quantity) AS BIGINT) AS total_quantity FROM f GROUP BY region) a
 JOIN (SELECT region, sum(shipping_cost) AS total_shipping FROM f GROUP BY region) b USING (region))"""
 O["join_cte_metrics"] = lines(
     f"""SELECT region, {d("total_sales")} AS total_sales, {d("total_profit")} AS total_profit, {r("avg_discount")} AS avg_discount,
@@ -383,26 +386,26 @@ O["metric_correlation"] = lines(
 )
 O["region_segment_bubble"] = lines(
     f"""SELECT region, segment, {d("sum(sales)")} AS total_sales, {d("sum(profit)")} AS total_profit,
-CAST(sum(quantity) AS BIGINT) AS total_quantity FROM f WHERE {SELECTED} GROUP BY ALL""",
+CAST(sum(quantity) AS BIGINT) AS total_quantity FROM f GROUP BY ALL""",
     FACTS,
 )
 O["yearly_category_sales"] = lines(
-    f"SELECT year, category, {d('sum(sales)')} AS total_sales FROM f WHERE {SELECTED} GROUP BY ALL", FACTS
+    f"SELECT year, category, {d('sum(sales)')} AS total_sales FROM f GROUP BY ALL", FACTS
 )
 O["shipping_mode_priority"] = lines(
     f"""SELECT ship_mode, order_priority, {d("sum(shipping_cost)")} AS total_shipping_cost FROM f
-WHERE region IN {listed(N.REGIONS)} GROUP BY ALL ORDER BY total_shipping_cost DESC, ship_mode, order_priority""",
+GROUP BY ALL ORDER BY total_shipping_cost DESC, ship_mode, order_priority""",
     FACTS,
 )
 O["product_hierarchy"] = lines(
     f"""SELECT p.category, p.sub_category, p.product_name, {d("sum(f.sales)")} AS total_sales,
 CAST(3 - bit_count(GROUPING_ID(p.category, p.sub_category, p.product_name)) AS INT) AS depth
-FROM f JOIN p USING (product_id) WHERE {SELECTED} GROUP BY ROLLUP (p.category, p.sub_category, p.product_name)
+FROM f JOIN p USING (product_id) GROUP BY ROLLUP (p.category, p.sub_category, p.product_name)
 HAVING bit_count(GROUPING_ID(p.category, p.sub_category, p.product_name)) < 3""",
     FACTS,
 )
 O["country_sales"] = lines(
-    f"SELECT country, {d('sum(sales)')} AS total_sales FROM f WHERE {SELECTED} GROUP BY ALL ORDER BY total_sales DESC, country", FACTS
+    f"SELECT country, {d('sum(sales)')} AS total_sales FROM f GROUP BY ALL ORDER BY total_sales DESC, country", FACTS
 )
 
 # --- preparation -------------------------------------------------------------------------------------------------
@@ -461,7 +464,7 @@ O["one_hot_drop_first"] = lines(
     f"{_dummies('segment', ['BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])} FROM lines"
 )
 O["label_encode"] = texts(
-    "SELECT review_id, sentiment, CASE sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END AS code FROM reviews"
+    "SELECT review_id, sentiment, CASE sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END AS code FROM labelled"
 )
 O["hash_sample"] = lines(
     f"""{LINE_SELECT} FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', {FIRST}))) AS k, count(*) OVER () AS n FROM lines)
@@ -474,7 +477,7 @@ FROM (SELECT order_id, min(order_date) AS order_date FROM lines GROUP BY order_i
 )
 O["stratified_split"] = texts(
     """SELECT review_id, sentiment, row_number() OVER (PARTITION BY sentiment ORDER BY md5(CAST(review_id AS VARCHAR)))
-<= round(count(*) OVER (PARTITION BY sentiment) * 0.2) AS is_test FROM reviews"""
+<= round(count(*) OVER (PARTITION BY sentiment) * 0.2) AS is_test FROM labelled"""
 )
 
 # --- mining ------------------------------------------------------------------------------------------------------
@@ -752,7 +755,7 @@ FROM g WHERE is_buyer_complaint GROUP BY issue_resolved""",
     CLEANED,
     FLAGGED,
 )
-O["sentiment_counts"] = texts("SELECT sentiment, count(*) AS reviews FROM reviews GROUP BY sentiment")
+O["sentiment_counts"] = texts("SELECT sentiment, count(*) AS reviews FROM labelled GROUP BY sentiment")
 O["rating_histogram"] = texts(
     f"""SELECT CAST(b AS INT) AS bin, {r("lo + (b - 1) * (hi - lo) / 5")} AS low, {r("lo + b * (hi - lo) / 5")} AS high,
 (SELECT count(*) FROM g WHERE is_buyer_complaint AND least(floor((customer_rating - lo) / (hi - lo) * 5), 4) = b - 1) AS reviews
@@ -773,7 +776,7 @@ quantile_cont(CAST({value} AS DOUBLE), 0.5) AS q2, quantile_cont(CAST({value} AS
 USING ({group}) GROUP BY {group}, q1, q2, q3"""
 
 
-O["box_stats"] = texts(_box("reviews", "sentiment", "response_time_hours"))
+O["box_stats"] = texts(_box("labelled", "sentiment", "response_time_hours"))
 O["box_stats_lines"] = lines(_box("lines", "sub_category", "sales"))
 O["negative_response_mean"] = texts(
     f"SELECT {r('avg(response_time_hours)')} AS avg_response_hours FROM reviews WHERE sentiment = 'negative'"
@@ -821,7 +824,7 @@ USING (review_id)""",
 (SELECT word, count(*) AS n FROM places GROUP BY word ORDER BY n DESC, word LIMIT 4998))""",
 )
 _JUDGED = """j AS (SELECT *, CASE WHEN customer_rating <= 2 THEN 'negative' WHEN customer_rating = 3 THEN 'neutral' ELSE 'positive' END AS predicted
-FROM reviews)"""
+FROM labelled)"""
 O["confusion_matrix"] = texts(
     "SELECT sentiment AS actual, "
     + ", ".join(f"count(*) FILTER (predicted = '{s}') AS {s}" for s in N.SENTIMENTS)
@@ -856,4 +859,34 @@ O["topic_mean_rating"] = texts(
     _TOPICS,
 )
 
+
+
+# --- ranked tables: the first rows of what stands above ----------------------------------------------------------
+
+
+def _top(sql: str, order: str, n: int) -> str:
+    return f"SELECT * FROM ({sql}) ORDER BY {order} LIMIT {n}"
+
+
+O["top_pairs"] = _top(O["frequent_pairs"], "lift DESC, orders_together DESC, item_a, item_b", 100)
+O["top_triples"] = _top(O["frequent_triples_sub_category"], "orders_together DESC, support DESC, item_1, item_2, item_3", 100)
+O["top_rules"] = _top(O["decision_rules"], "lift_vs_baseline DESC, support_rows DESC, if_condition", 150)
+O["top_transitions"] = _top(O["transitions"], 'times_seen DESC, probability_next DESC, "from", "to"', 200)
+O["top_three_step"] = _top(O["three_step_patterns"], "times_seen DESC, step_1, step_2, step_3", 100)
+
+O["seed_totals_default"] = texts(
+    """SELECT count(*) AS reviews, count(*) FILTER (len(competitor_hits) > 0) AS competitor_mentions,
+count(*) FILTER (len(pain_hits) > 0) AS pain_mentions FROM h""",
+    TOKENS,
+    _HITS.replace(listed(N.COMPETITOR_TERMS), listed(COMPETITOR_SEEDS)).replace(listed(N.PAIN_TERMS), listed(PAIN_POINT_SEEDS)),
+)
+_DEFAULT_FLAG = {
+    theme_column(theme): f"list_has_any(string_split(clean_review, ' '), {list(words)})" for theme, words in COMPLAINT_THEMES.items()
+}
+O["theme_flags_default"] = texts(
+    f"""SELECT review_id, {", ".join(f"{f} AS {c}" for c, f in _DEFAULT_FLAG.items())},
+{" OR ".join(_DEFAULT_FLAG.values())} AS is_buyer_complaint FROM c WHERE sentiment = 'negative'""",
+    CLEANED,
+)
+
 ORACLES = O

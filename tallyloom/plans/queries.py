@@ -358,6 +358,11 @@ def _(spark, folder):
 
 
 @query("kpi_summary")
+def _(spark, folder):
+    return O.kpi_summary(_sales(spark, folder))
+
+
+@query("kpi_summary_filtered")
 def _(spark, folder):
     return O.kpi_summary(_selected(_sales(spark, folder, "product", "state")))
 
@@ -369,12 +374,11 @@ def _(spark, folder):
 
 @query("monthly_category_sales")
 def _(spark, folder):
-    return O.monthly_category_sales(_selected(_sales(spark, folder, "time", "product", "state")), "order_date")
+    return O.monthly_category_sales(_sales(spark, folder, "time", "product"), "order_date")
 
 
 def _region_metrics(spark, folder):
-    sales = O.filter_in_lists(_sales(spark, folder, "product", "state"), {"year": YEARS, "category": CATEGORIES})
-    return O.join_cte_metrics(sales, _shipping(spark, folder, "state"), "region")
+    return O.join_cte_metrics(_sales(spark, folder, "state"), _shipping(spark, folder, "state"), "region")
 
 
 @query("join_cte_metrics")
@@ -389,31 +393,31 @@ def _(spark, folder):
 
 @query("region_segment_bubble")
 def _(spark, folder):
-    flat = _selected(_sales(spark, folder, "customer", "product", "state"))
+    flat = _sales(spark, folder, "customer", "state")
     return O.totals_by(flat, ["region", "segment"], ["sales", "profit", "quantity"])
 
 
 @query("yearly_category_sales")
 def _(spark, folder):
-    return O.totals_by(_selected(_sales(spark, folder, "product", "state")), ["year", "category"], ["sales"])
+    return O.totals_by(_sales(spark, folder, "product"), ["year", "category"], ["sales"])
 
 
 @query("shipping_mode_priority")
 def _(spark, folder):
-    flat = O.filter_in_lists(_shipping(spark, folder, "state", "mode", "priority"), {"region": REGIONS})
+    flat = _shipping(spark, folder, "mode", "priority")
     totals = O.totals_by(flat, ["ship_mode", "order_priority"], ["shipping_cost"])
     return totals.orderBy(F.col("total_shipping_cost").desc(), "ship_mode", "order_priority")
 
 
 @query("product_hierarchy")
 def _(spark, folder):
-    flat = _selected(_sales(spark, folder, "product", "state"))
+    flat = _sales(spark, folder, "product")
     return O.product_hierarchy(flat, ["category", "sub_category", "product_name"])
 
 
 @query("country_sales")
 def _(spark, folder):
-    flat = _selected(_sales(spark, folder, "product", "state"))
+    flat = _sales(spark, folder, "state")
     return O.totals_by(flat, ["country"], ["sales"]).orderBy(F.col("total_sales").desc(), "country")
 
 
@@ -486,7 +490,7 @@ def _(spark, folder):
 
 @query("label_encode")
 def _(spark, folder):
-    return P.label_encode(I.reviews(spark, folder), "sentiment", "code").select("review_id", "sentiment", "code")
+    return P.label_encode(I.labelled_reviews(spark, folder), "sentiment", "code").select("review_id", "sentiment", "code")
 
 
 @query("hash_sample")
@@ -502,7 +506,7 @@ def _(spark, folder):
 
 @query("stratified_split")
 def _(spark, folder):
-    return P.stratified_split(I.reviews(spark, folder), "sentiment", "review_id").select("review_id", "sentiment", "is_test")
+    return P.stratified_split(I.labelled_reviews(spark, folder), "sentiment", "review_id").select("review_id", "sentiment", "is_test")
 
 
 # --- mining ------------------------------------------------------------------------------------------------------
@@ -549,6 +553,18 @@ def _(spark, folder):
     return B.top_n(pairs, ["orders_together"], ["item_a", "item_b"], 100)
 
 
+@query("top_pairs")
+def _(spark, folder):
+    pairs = B.frequent_pairs(I.baskets(spark, folder, "product_name"), NAME_SUPPORT)
+    return B.top_n(pairs.withColumn("lift", F.round("lift", 6)), ["lift", "orders_together"], ["item_a", "item_b"], 100)
+
+
+@query("top_triples")
+def _(spark, folder):
+    triples = B.frequent_triples(I.baskets(spark, folder, "sub_category"), KIND_SUPPORT)
+    return B.top_n(triples, ["orders_together", "support"], ["item_1", "item_2", "item_3"], 100)
+
+
 @query("min_support_filter")
 def _(spark, folder):
     rows = I.baskets(spark, folder, "product_name")
@@ -561,6 +577,12 @@ def _(spark, folder):
     return U.decision_rules(I.order_lines(spark, folder))
 
 
+@query("top_rules")
+def _(spark, folder):
+    rules = U.decision_rules(I.order_lines(spark, folder)).withColumn("lift_vs_baseline", F.round("lift_vs_baseline", 6))
+    return B.top_n(rules, ["lift_vs_baseline", "support_rows"], ["if_condition"], 150)
+
+
 @query("rule_decision")
 def _(spark, folder):
     lines = I.order_lines(spark, folder)
@@ -588,6 +610,19 @@ def _(spark, folder):
     return Q.transitions(Q.next_step(_states(spark, folder)))
 
 
+@query("top_transitions")
+def _(spark, folder):
+    found = Q.transitions(Q.next_step(_states(spark, folder)))
+    found = found.withColumn("probability_next", F.round("probability_next", 6))
+    return B.top_n(found, ["times_seen", "probability_next"], ["from", "to"], 200)
+
+
+@query("top_three_step")
+def _(spark, folder):
+    found = Q.three_step_patterns(Q.next_step(_states(spark, folder)))
+    return B.top_n(found, ["times_seen"], ["step_1", "step_2", "step_3"], 100)
+
+
 @query("transition_probability")
 def _(spark, folder):
     pairs = I.order_lines(spark, folder).groupBy("category", "ship_mode").agg(F.count("*").alias("times_seen"))
@@ -739,7 +774,7 @@ def _judged(spark, folder):
     """Reviews with the sentiment their rating suggests."""
     rating = F.col("customer_rating")
     guess = F.when(rating <= 2, "negative").when(rating == 3, "neutral").otherwise("positive")
-    return I.reviews(spark, folder).withColumn("predicted", guess)
+    return I.labelled_reviews(spark, folder).withColumn("predicted", guess)
 
 
 @query("clean_reviews")
@@ -789,7 +824,7 @@ def _(spark, folder):
 
 @query("sentiment_counts")
 def _(spark, folder):
-    return C.sentiment_counts(I.reviews(spark, folder))
+    return C.sentiment_counts(I.labelled_reviews(spark, folder))
 
 
 @query("rating_histogram")
@@ -799,7 +834,7 @@ def _(spark, folder):
 
 @query("box_stats")
 def _(spark, folder):
-    return C.box_stats(I.reviews(spark, folder), "sentiment", "response_time_hours")
+    return C.box_stats(I.labelled_reviews(spark, folder), "sentiment", "response_time_hours")
 
 
 @query("box_stats_lines")
@@ -830,6 +865,19 @@ def _(spark, folder):
     return kinds[0].unionByName(kinds[1])
 
 
+@query("seed_totals_default")
+def _(spark, folder):
+    """The fixed seed lists, over all reviews."""
+    return X.seed_totals(X.seed_hits(_tokens(spark, folder)))
+
+
+@query("theme_flags_default")
+def _(spark, folder):
+    """The fixed complaint themes, over all negative reviews."""
+    flagged = C.theme_flags(C.negative_reviews(_cleaned(spark, folder)))
+    return flagged.select("review_id", *[C.theme_column(t) for t in C.COMPLAINT_THEMES], "is_buyer_complaint")
+
+
 @query("build_vocabulary")
 def _(spark, folder):
     return X.build_vocabulary(_tokens(spark, folder))
@@ -891,10 +939,10 @@ def _(spark, folder):
 
 @query("sentiment_classifier")
 def _(spark, folder):
-    fit = S.sentiment_classifier(_cleaned(spark, folder))
+    fit = S.sentiment_classifier(_cleaned(spark, folder).where("sentiment IS NOT NULL"))
     return S.classification_report(fit.predictions, "sentiment", "predicted")
 
 
 @query("sentiment_predictions")
 def _(spark, folder):
-    return S.sentiment_classifier(_cleaned(spark, folder)).predictions
+    return S.sentiment_classifier(_cleaned(spark, folder).where("sentiment IS NOT NULL")).predictions

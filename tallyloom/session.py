@@ -3,23 +3,34 @@
 from __future__ import annotations
 
 import itertools
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
 _NUMBERS = itertools.count(1)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it; a local one only where none is named (tests)."""
+    """Folder that the driver and all executors can reach: the one the cluster names in spark.checkpoint.dir, else one in
+    the warehouse.
+
+    Only a session that runs in one process (as in tests) may use a temporary folder of this machine; on a cluster where
+    neither setting names a shared file system, this is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_DIRS:
-        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="tallyloom-")
-    return _LOCAL_DIRS[application]
+    context = spark.sparkContext
+    if re.fullmatch(r"local(\[.*\])?", context.master):
+        if context.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[context.applicationId] = tempfile.TemporaryDirectory(prefix="tallyloom-")  # goes with the process
+        return _LOCAL_DIRS[context.applicationId].name
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_work"
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -39,6 +50,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on few rows: a frame with fewer partitions than cores is redistributed."""
+    """Use all cores for costly work on a table that may come in few files: its rows are dealt round.
+
+    For a plain scan only; of anything else adaptive execution chooses the partitions.
+    """
+    files = len(df.inputFiles())
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if files < cores else df

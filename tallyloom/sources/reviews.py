@@ -42,10 +42,10 @@ def find_columns(df: DataFrame) -> DataFrame:
 
 
 def reviews_from_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Reviews out of labelled documents."""
-    document, label = tables["documents"], tables["labels"]
-    sentiment = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
-    return document.join(label, "doc_id").select(
+    """Reviews out of documents; those without a label have no sentiment."""
+    document, label = tables["documents"], tables["labels"].withColumn("labelled", F.lit(True))
+    sentiment = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").when(F.col("labelled"), "neutral")
+    return document.join(label, "doc_id", "left").select(
         F.col("doc_id").alias("review_id"),
         F.col("text").alias("review_text"),
         sentiment.alias("sentiment"),

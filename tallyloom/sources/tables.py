@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,21 +29,26 @@ def write_result(df: DataFrame, path: str, format: str = "parquet") -> None:
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
     """Read a result table back; an empty table of the same schema if it was never written."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not file_system.exists(hadoop_path):
-        return spark.createDataFrame([], schema)
     options = {"header": True, "escape": '"', "multiLine": True} if format == "csv" else {}
-    return spark.read.schema(schema).options(**options).format(format).load(path)
+    try:
+        table = spark.read.schema(schema).options(**options).format(format).load(path)
+        table.schema  # noqa: B018  where plans are made late, this is what looks for the path
+        return table
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_warehouse(tables: dict[str, DataFrame], path: str, partitioned_by: dict[str, Sequence[str]]) -> None:
     """Replace all tables of a schema, a few jobs at a time; `partitioned_by` lays out the facts by year."""
 
     def write(name: str) -> None:
-        writer = tables[name].write.mode("overwrite")
-        if name in partitioned_by:
-            writer = writer.partitionBy(*partitioned_by[name])
+        keys = partitioned_by.get(name, ())
+        # A few files for each partition, not one from each task; a large partition is split.
+        writer = (tables[name].hint("rebalance", *keys) if keys else tables[name]).write.mode("overwrite")
+        if keys:
+            writer = writer.partitionBy(*keys)
         writer.parquet(f"{path}/{name}")
 
     session = next(iter(tables.values())).sparkSession

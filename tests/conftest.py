@@ -13,7 +13,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get("TEST_CORES", "8")}]")
         .appName("tallyloom-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -60,7 +60,7 @@ def test_cut_finds_the_kth_key(spark):
     keys = [hashlib.md5(str(n).encode()).hexdigest() for n in range(500)]
     frame = spark.createDataFrame([(k,) for k in keys] * 2, "k string")
     for k in (1, 2, 499, 500, 1000):
-        row = ranks.ordered_cut(frame, "k", F.lit(k), prefixes=(1, 3)).first()
+        row = ranks.ordered_cut(frame, "k", F.lit(k), first=1, most=2).first()
         assert row["cut_key"] == sorted(keys * 2)[k - 1]
         assert row["copies_wanted"] == (k - 1) % 2 + 1
 
@@ -125,3 +125,30 @@ def test_box_and_histogram(spark):
     assert [b["reviews"] for b in bins] == list(counts) and [b["low"] for b in bins] == pytest.approx(list(edges[:-1]))
     single = C.rating_histogram(frame.where("g = 'b'"), "v").orderBy("bin").collect()
     assert [b["reviews"] for b in single] == list(np.histogram([5.0], bins=5)[0])
+
+
+def test_splits_are_exact_when_keys_repeat(spark):
+    rows = [("a" if n % 4 else "b", n % 7, n % 3, "2020-01-0" + str(1 + n % 5)) for n in range(100)]
+    frame = spark.createDataFrame(rows, "label string, key int, other int, day string").withColumn("day", F.to_date("day"))
+    marked = P.stratified_split(frame, "label", "key", 0.2)
+    counts = {r["label"]: (r["n"], r["t"]) for r in marked.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+    assert counts == {"a": (75, 15), "b": (25, 5)}
+    split = P.chronological_split(frame, "day", "key", 0.8)
+    assert split.where("is_train").count() == 80 and split.count() == 100
+    assert split.where("is_train").agg(F.max("day")).first()[0] <= split.where("not is_train").agg(F.min("day")).first()[0]
+    alike = spark.createDataFrame([("x", 1)] * 30, "label string, key int")
+    assert P.stratified_split(alike, "label", "key", 0.2).where("is_test").count() == 6
+
+
+def test_quantiles_narrow_in_several_rounds(spark):
+    values = [float(n * n % 10007) for n in range(9000)] + [5.0] * 3000
+    frame = spark.createDataFrame([(g, v) for g in ("p", "q") for v in values], "g string, v double")
+    found = {r["g"]: r["q"] for r in ranks.exact_quantiles(frame, "v", [0.1, 0.5, 0.9], ["g"], most=3).collect()}
+    wanted = [float(x) for x in np.quantile(values, [0.1, 0.5, 0.9])]
+    assert found["p"] == pytest.approx(wanted) and found["q"] == pytest.approx(wanted)
+
+
+def test_labels_of_many_classes(spark):
+    frame = spark.range(2500).select(F.format_string("c%05d", "id").alias("c"))
+    coded = P.label_encode(frame, "c", "code")
+    assert coded.where(F.col("code") != F.substring("c", 2, 5).cast("int")).count() == 0 and coded.count() == 2500

@@ -95,7 +95,7 @@ def test_service_figures(spark):
     assert found["resolved_pct"] == 50.0 and found["median_response_hours"] == 4.0
     assert found["p90_response_hours"] == pytest.approx(8.8) and found["avg_rating_all"] == 5.0
     shares = {r["value"]: r["share_pct"] for r in C.value_share(frame, "issue_resolved").collect()}
-    assert shares == pytest.approx({"yes": 100 / 3, "no": 100 / 3, "true": 100 / 3})
+    assert shares == {"yes": 25.0, "no": 25.0, "true": 25.0, None: 25.0}  # a missing value is a value
 
 
 def test_sequences(spark):
@@ -120,3 +120,16 @@ def test_seed_hits_keep_repeats(spark):
     totals = X.seed_totals(hits).first()
     assert (totals["reviews"], totals["competitor_mentions"], totals["pain_mentions"]) == (2, 1, 1)
     assert X.top_seed_terms(hits).first()["count"] == 2
+
+
+def test_each_review_is_one_sequence_even_if_ids_repeat(spark):
+    frame = spark.createDataFrame([(1, "a b c"), (1, "b c d e f"), (None, "")], "review_id int, clean_review string")
+    rows = X.sequence_encode(frame, "review_id", size=100, length=4).collect()
+    assert len(rows) == 3 and all(len(r["sequence"]) == 4 for r in rows)
+
+
+def test_vocabulary_is_never_cut(spark):
+    frame = spark.createDataFrame([([f"w{i}" for i in range(4000)],), ([f"w{i}" for i in range(4000)],), (["z"],)], "tokens array<string>")
+    assert X.build_vocabulary(frame, 2, 0.9).count() == 4000
+    with pytest.raises(ValueError):
+        X.fit_bag_of_words(frame, 2, 0.9, most=3999)
