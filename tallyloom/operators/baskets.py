@@ -133,12 +133,20 @@ def _pair_up(rows: DataFrame, salts: int = 1) -> DataFrame:
 
 
 def _occurrences(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The wide orders that hold all items of each given set: a lookup per item, starting from the sets."""
-    first, *others = [name for name in sets.columns if name.startswith("item_")]
-    found = sets.join(_named(rows, first), first)
-    for name in others:
-        found = found.join(_named(rows, name), ["order_id", name])
-    return found
+    """The wide orders that hold all items of each given set.
+
+    Only items of a set are paired up inside an order, by salted tasks, and only pairs of a set go on: no join is on an
+    item alone, so an item of most orders and sets is no hot key.
+    """
+    names = [name for name in sets.columns if name.startswith("item_")]
+    members = sets.select(F.explode(F.array(*names)).alias("item")).distinct()
+    pairs = _pairs_in_orders(rows.join(members, "item", "left_semi"), WIDE_SALTS)
+    found = pairs.join(sets.select("item_a", "item_b").distinct(), ["item_a", "item_b"], "left_semi")
+    if "item_c" in names:
+        ends = sets.select("item_a", "item_c").distinct()
+        third = pairs.withColumnRenamed("item_b", "item_c").join(ends, ["item_a", "item_c"], "left_semi")
+        found = found.join(third, ["order_id", "item_a"])
+    return found.join(sets, names)
 
 
 def _grow(occurrences: DataFrame, pairs: DataFrame) -> DataFrame:

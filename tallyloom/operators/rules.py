@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.columns import one_row
+from tallyloom.session import stored
+
 # The dimension sets, the least rows of a rule, and the factor over the baseline that asks for review.
 DIMENSION_SETS = (
     ("category",),
@@ -46,20 +49,18 @@ def decision_rules(
         F.sum("profit_margin").alias("margin_sum"),
         F.count("profit_margin").alias("margin_rows"),
     )
+    cells = stored(cells, "rule_cells")  # read for the sets and for the whole
     sums = [F.sum(c).alias(c) for c in cells.columns if c not in names]
     sets = [[F.col(name) for name in dims] for dims in dimension_sets]
-    everything = (1 << len(names)) - 1
-    grouped = cells.groupingSets([*sets, []], *names).agg(F.grouping_id().alias("_gid"), *sums)
-    # One row per value combination is left, so the total row can reach all of them through a window.
-    whole = Window.partitionBy(F.lit(0))
-    of_total = lambda name: F.max(F.when(F.col("_gid") == everything, F.col(name))).over(whole)
+    grouped = cells.groupingSets(sets, *names).agg(F.grouping_id().alias("_gid"), *sums)
+    whole = one_row(cells.agg(F.sum("rows").alias("rows"), F.sum("losses").alias("losses")))
     rules = (
         grouped.select(
             _condition(names, dimension_sets).alias("if_condition"),
             "*",
             (F.col("losses") / F.col("rows")).alias("loss_rate"),
-            of_total("rows").alias("_total"),
-            (of_total("losses") / of_total("rows")).alias("baseline"),
+            whole["rows"].alias("_total"),
+            (whole["losses"] / whole["rows"]).alias("baseline"),
         )
         .where(F.col("if_condition").isNotNull())
         .where(F.col("rows") >= min_rows)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import stored
+
 STATE_ITEMS = 3
 
 
 def order_sequences(df: DataFrame, customer: str, order_key: str, date: str, level: str) -> DataFrame:
     """One state per (customer, order, date): its first three distinct items in order, joined by ' + '.
 
-    Only three items per order leave the map side (the row limit is applied before the shuffle), however large the
-    order is.
+    An order's distinct items are shuffled once; its first three are then chosen by a window that keeps three rows.
     """
     keys = ["customer_name", "order_id", "order_date"]
     items = (
@@ -35,22 +36,24 @@ def order_sequences(df: DataFrame, customer: str, order_key: str, date: str, lev
 def next_step(sequences: DataFrame) -> DataFrame:
     """Each order with the customer's next two states (NULL at the end).
 
-    Orders are sorted per customer and day, not per customer.  A day's last two orders find their successors among
-    the first and last two orders of each day, so a customer with most of the orders still makes no large sort.
+    Orders are dealt out in ranges of (customer, date, order), so a customer with most of the orders, even on one day,
+    is split.  Successors are found inside a range; the last two orders of a customer in a range find theirs among the
+    first and last two of each range.
     """
-    day = Window.partitionBy("customer_name", "order_date").orderBy("order_id")
-    whole_day = Window.partitionBy("customer_name", "order_date")
-    placed = sequences.select(
+    ranged = sequences.repartitionByRange("customer_name", "order_date", "order_id")
+    ranged = stored(ranged.withColumn("_range", F.spark_partition_id()), "order_ranges")
+    own = Window.partitionBy("customer_name", "_range").orderBy("order_date", "order_id")
+    placed = ranged.select(
         "*",
-        F.row_number().over(day).alias("_at"),
-        F.count("*").over(whole_day).alias("_n"),
-        F.lead("state", 1).over(day).alias("step_2"),
-        F.lead("state", 2).over(day).alias("step_3"),
+        F.row_number().over(own).alias("_at"),
+        F.count("*").over(Window.partitionBy("customer_name", "_range")).alias("_n"),
+        F.lead("state", 1).over(own).alias("step_2"),
+        F.lead("state", 2).over(own).alias("step_3"),
     )
     is_tail = F.col("_at") > F.col("_n") - 2
     columns = ["customer_name", "order_date", "order_id", F.col("state").alias("step_1"), "step_2", "step_3"]
     inner = placed.where(~is_tail).select(*columns)
-    along = Window.partitionBy("customer_name").orderBy("order_date", "order_id")
+    along = Window.partitionBy("customer_name").orderBy("order_date", "order_id")  # four orders a range at most
     edges = placed.where(is_tail | (F.col("_at") <= 2)).select(
         "customer_name",
         "order_date",

@@ -56,6 +56,11 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(_once(spark, folder, "order_lines", make))
 
 
+def fitted(spark: SparkSession, folder: str, name: str, fit: Callable[[], object]) -> object:
+    """A fitted model, once for an application and folder."""
+    return _once(spark, folder, f"model_{name}", lambda _: fit())
+
+
 def _table(spark: SparkSession, folder: str, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
     """A derived table, stored on first use because several passes read it."""
 

@@ -655,15 +655,28 @@ def _(spark, folder):
     return K.label_customers(_grouped_customers(spark, folder), summary).select("customer_name", "cluster", "business_label")
 
 
+def _clustered(spark, folder):
+    return I.fitted(spark, folder, "clusters", lambda: K.customer_clusters(I.customers(spark, folder)))[0]
+
+
+def _profit_fit(spark, folder):
+    return I.fitted(spark, folder, "profit", lambda: R.profit_regression(I.orders(spark, folder)))
+
+
+def _sentiment_fit(spark, folder):
+    labelled = _cleaned(spark, folder).where("sentiment IS NOT NULL")
+    return I.fitted(spark, folder, "sentiment", lambda: S.sentiment_classifier(labelled))
+
+
 @query("customer_clusters")
 def _(spark, folder):
-    customers, _ = K.customer_clusters(I.customers(spark, folder))
+    customers = _clustered(spark, folder)
     return K.label_customers(customers.drop("features"), K.cluster_summary(customers))
 
 
 @query("customer_cluster_summary")
 def _(spark, folder):
-    return K.cluster_summary(K.customer_clusters(I.customers(spark, folder))[0])
+    return K.cluster_summary(_clustered(spark, folder))
 
 
 @query("cluster_pca")
@@ -673,17 +686,17 @@ def _(spark, folder):
 
 @query("profit_regression")
 def _(spark, folder):
-    return R.profit_regression(I.orders(spark, folder)).coefficient_table()
+    return _profit_fit(spark, folder).coefficient_table()
 
 
 @query("prediction_audit")
 def _(spark, folder):
-    return R.prediction_audit(R.profit_regression(I.orders(spark, folder)).predictions)
+    return R.prediction_audit(_profit_fit(spark, folder).predictions)
 
 
 @query("profit_regression_metrics")
 def _(spark, folder):
-    return R.regression_metrics(R.profit_regression(I.orders(spark, folder)).predictions, "profit", "predicted")
+    return R.regression_metrics(_profit_fit(spark, folder).predictions, "profit", "predicted")
 
 
 @query("regression_metrics", digits=4)
@@ -921,7 +934,7 @@ def _(spark, folder):
 
 def _topic_model(spark, folder):
     stops = X.default_stop_words()
-    return Z.fit_topics(X.tokenise_reviews(I.reviews(spark, folder), stops))
+    return I.fitted(spark, folder, "topics", lambda: Z.fit_topics(X.tokenise_reviews(I.reviews(spark, folder), stops)))
 
 
 @query("lda_topics")
@@ -939,10 +952,14 @@ def _(spark, folder):
 
 @query("sentiment_classifier")
 def _(spark, folder):
-    fit = S.sentiment_classifier(_cleaned(spark, folder).where("sentiment IS NOT NULL"))
-    return S.classification_report(fit.predictions, "sentiment", "predicted")
+    return S.classification_report(_sentiment_fit(spark, folder).predictions, "sentiment", "predicted")
 
 
 @query("sentiment_predictions")
 def _(spark, folder):
-    return S.sentiment_classifier(_cleaned(spark, folder).where("sentiment IS NOT NULL")).predictions
+    return _sentiment_fit(spark, folder).predictions
+
+
+@query("sentiment_metrics")
+def _(spark, folder):
+    return _sentiment_fit(spark, folder).metrics()
