@@ -8,9 +8,10 @@ Improved consistent weighted sampling draws `bands` x `rows` shingles from each
 with the probability of their weighted Jaccard similarity; texts that agree in all draws of a band are candidates.
 
 Texts equal to the letter are one node from the start.  In each bucket of a band all nodes are verified against a
-leader, the one that meets most others; where that leaves a bucket with several classes, nodes of different classes are
-verified against each other, so no link between different texts of a bucket is lost, while a class is never expanded
-into pairs.  Classes are the connected components of verified pairs.
+leader, the one that meets most others.  Where that leaves a bucket with several classes, its nodes are dealt into blocks
+and every two blocks meet in one task, which verifies the nodes of different classes by one matrix product and emits
+only links that join classes: no link between different texts of a bucket is lost, and no group is expanded into rows
+of pairs.  Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from tallyloom.llm.frames import find_package, map_columns, small_batches, text_
 from tallyloom.llm.words import mix, word_hashes
 from tallyloom.session import stored
 
+#: Nodes of a bucket that a task takes on either side.
+BLOCK_NODES = 200
 CELL_BITS = 18
 TABLE_BITS = 14
 _U = np.uint64
@@ -184,6 +187,102 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: np.ndarray, setting: N
     return told.where("similar").select("a", "b")
 
 
+def _products(values: np.ndarray, times: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs of some texts' weighted sets.
+
+    An occurrence of a shingle is an element of its own, so the common weight of two sets is a product of 0/1 rows; what
+    only one text has can't be common and is left out of it.
+    """
+    n = len(ends) - 1
+    owner = np.repeat(np.repeat(np.arange(n), np.diff(ends)), times)
+    value = np.repeat(values, times)
+    turn = np.arange(len(value)) - np.repeat(np.cumsum(times) - times, times)
+    weight = weights[_cell(value)]
+    total = np.bincount(owner, weight, minlength=n)
+    element = mix(value ^ (turn.astype(_U) << _U(1)))
+    _, first, place, seen = np.unique(element, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(seen > 1)
+    column = np.full(len(seen), -1)
+    column[shared] = np.arange(len(shared))
+    at = column[place]
+    owner, at = owner[at >= 0], at[at >= 0]
+    scale = np.sqrt(weight[first[shared]])
+    common = np.zeros((n, n))
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for low in range(0, len(shared), 4096):  # a bounded part of the elements at a time
+        s, e = np.searchsorted(at, [low, low + 4096])
+        table = np.zeros((n, min(4096, len(shared) - low)), np.float32)
+        table[owner[s:e], at[s:e] - low] = scale[at[s:e]]
+        common += table @ table.T
+    return common / np.maximum(total[:, None] + total[None, :] - common, 1e-12)
+
+
+def _joins(roots: list, sides: list[int], alike: np.ndarray) -> list[tuple[int, int]]:
+    """Of the pairs that are alike and of different roots and, if there are two sides, sides: enough to join all classes
+    that any of them joins."""
+    name = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+    root = np.array([name[r] for r in roots])
+    side = np.array(sides)
+    good = alike & (root[:, None] != root[None, :])
+    if len(set(sides)) > 1:
+        good &= side[:, None] != side[None, :]
+    parent = list(range(len(name)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for a, b in zip(*np.nonzero(np.triu(good))):
+        x, y = find(root[a]), find(root[b])
+        if x != y:
+            parent[x] = y
+            links.append((int(a), int(b)))
+    return links
+
+
+def _across_classes(placed: DataFrame, texts: DataFrame, weights: np.ndarray, setting: NearCopies) -> DataFrame:
+    """Links (a, b) between nodes of one bucket and of different classes, for (bucket, node, root, members)."""
+    parts = F.ceil(F.col("members") / BLOCK_NODES).cast("int")
+    dealt = placed.withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    met = dealt.join(texts, "node").select("bucket", "node", "root", "side", "_text", other)
+    low, high = F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
+    met = met.select("bucket", low, high, "node", "root", "side", "_text")
+    met = met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    words, least = setting.words, setting.similarity
+
+    def links(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+        nodes, roots, sides, own = zip(*group)
+        if len(set(roots)) < 2:
+            return []
+        alike = _products(*shingles(list(own), words), weights) >= least
+        return [(nodes[a], nodes[b]) for a, b in _joins(list(roots), list(sides), alike)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group = None, []
+        for batch in batches:
+            found = []
+            for bucket, lo, hi, *member in zip(*[c.to_pylist() for c in batch.columns]):
+                if (bucket, lo, hi) != key:
+                    found += links(group) if len(group) > 1 else []
+                    key, group = (bucket, lo, hi), []
+                group.append(tuple(member))
+            yield _linked(found)
+        yield _linked(links(group) if len(group) > 1 else [])
+
+    find_package(met)
+    small_batches(met)
+    return met.mapInArrow(run, "a binary, b binary")
+
+
+def _linked(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+
 def _pairs(members: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's leader: the node that meets most others over all its buckets."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
@@ -220,15 +319,9 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", settin
     roots = components(links, "neardup-leaders")
 
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    placed = placed.join(mixed, "bucket", "left_semi")
-    left = placed.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = placed.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rest = left.join(right, "bucket").where("root_a < root_b").select("a", "b").distinct()
-    ends = lambda a, b: F.struct(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
-    done = first.select(ends(F.col("a"), F.col("b")).alias("ends")).distinct()
-    rest = rest.withColumn("ends", ends(F.col("a"), F.col("b"))).join(done, "ends", "left_anti").select("a", "b")
-    more = stored(verified(stored(rest, "neardup-rest"), texts, weights, setting), "neardup-more")
+    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    placed = placed.join(several.where("low != high").select("bucket", "members"), "bucket")
+    more = stored(_across_classes(placed, texts, weights, setting), "neardup-more")
     roots = components(links.unionByName(more), "neardup-classes")
 
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("rows"))
