@@ -77,7 +77,7 @@ def search_tree(n, width, ids, rows, first, end, left, low, high, query_ids, que
     """
     ids, rows = np.frombuffer(ids, np.int64), np.frombuffer(rows, np.float64).reshape(n, width)
     first, end, left = (np.frombuffer(x, np.int32) for x in (first, end, left))
-    low, high = (np.frombuffer(x, np.float64).reshape(-1, width) for x in (low, high))
+    low, high = (np.frombuffer(x, np.float64).reshape(len(first), width) for x in (low, high))
     m = len(queries)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
     bound = up @ high.T + down @ low.T  # the largest inner product that each node's box allows
