@@ -99,11 +99,14 @@ def levels_of(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) ->
     return levels
 
 
-def one_hot_drop_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace each categorical column by 0/1 columns for all its levels but the alphabetically first."""
+def one_hot_drop_first(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) -> DataFrame:
+    """Replace each categorical column by 0/1 columns for all its levels but the alphabetically first.
+
+    A table of more than `most` columns for one is refused, never cut; `regression.encode_levels` has no such limit.
+    """
     dummies = [
         F.coalesce((F.col(c) == level).cast("double"), F.lit(0.0)).alias(f"{c}_{level}")
-        for c, levels in levels_of(df, columns).items()
+        for c, levels in levels_of(df, columns, most).items()
         for level in levels[1:]
     ]
     return df.select(*[f"`{name}`" for name in df.columns if name not in columns], *dummies)

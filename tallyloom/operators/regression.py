@@ -6,12 +6,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.prepare import chronological_split, one_hot_drop_first
+from tallyloom.operators.prepare import chronological_split
 from tallyloom.session import stored
 
 # The model's inputs and penalty.
@@ -52,19 +52,40 @@ class RidgeFit:
         return table.orderBy(F.abs("coefficient").desc(), "feature")
 
 
-def ridge(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, alpha: float) -> RidgeFit:
+#: Features up to which MLlib solves the normal equations; beyond, it descends by L-BFGS.
+NORMAL_FEATURES = 4_096
+
+
+def encode_levels(df: DataFrame, columns: Sequence[str], name: str) -> tuple[DataFrame, list[str]]:
+    """Add one sparse 0/1 vector for all levels of categorical columns but the alphabetically first of each, and the
+    names of its places.  The table gets one column however many levels there are."""
+    places = [f"_place{i}" for i in range(len(columns))]
+    indexer = StringIndexer(inputCols=list(columns), outputCols=places, stringOrderType="alphabetDesc").fit(df)
+    placed = indexer.transform(df)
+    hot = OneHotEncoder(inputCols=places, outputCols=[f"{p}_hot" for p in places], dropLast=True).fit(placed)
+    joined = VectorAssembler(inputCols=[f"{p}_hot" for p in places], outputCol=name).transform(hot.transform(placed))
+    names = [f"{c}_{level}" for c, levels in zip(columns, indexer.labelsArray) for level in levels[:-1]]
+    return joined.select(*[f"`{c}`" for c in df.columns], name), names
+
+
+def ridge(
+    train: DataFrame, test: DataFrame, features: Sequence[str], label: str, alpha: float, encoded: str | None = None,
+    encoded_names: Sequence[str] = (),
+) -> RidgeFit:
     """Ridge with an unpenalised intercept on features z-scored by the training part.
 
     The penalty is meant for features scaled by their population deviation, the scaler uses the sample deviation
     (larger by 1/c, c^2 = (n-1)/n), and the solver divides the squared error by n and by the label's deviation.  So
     its parameter is alpha * c^2 * deviation(label) / n, and its coefficients are multiplied by c.  Scaling takes one
-    pass over the training rows and the normal equations another.
+    pass over the training rows and the normal equations another.  `encoded` is a vector column of further features.
     """
+    names = [*features, *encoded_names]
 
     def shaped(part: DataFrame) -> DataFrame:
         numbers = [F.col(f"`{name}`").cast("double").alias(f"f{i}") for i, name in enumerate(features)]
         rows = part.select("*", *numbers, F.col(label).cast("double").alias("_y"))
-        return VectorAssembler(inputCols=[f"f{i}" for i in range(len(features))], outputCol="raw").transform(rows)
+        inputs = [*[f"f{i}" for i in range(len(features))], *([encoded] if encoded else [])]
+        return VectorAssembler(inputCols=inputs, outputCol="raw").transform(rows)
 
     fit_rows = shaped(train)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(fit_rows)
@@ -73,15 +94,15 @@ def ridge(train: DataFrame, test: DataFrame, features: Sequence[str], label: str
     model = LinearRegression(
         labelCol="_y",
         predictionCol="predicted",
-        solver="normal",
+        solver="normal" if len(names) <= NORMAL_FEATURES else "l-bfgs",
         elasticNetParam=0.0,
         standardization=False,
         regParam=alpha * shrink * (moments["dev"] or 1.0) / moments["n"],
     ).fit(scaler.transform(fit_rows))
-    kept = [F.col(f"`{c}`") for c in test.columns]
+    kept = [F.col(f"`{c}`") for c in test.columns if c != encoded]
     return RidgeFit(
         intercept=float(model.intercept),
-        coefficients={name: float(w) * math.sqrt(shrink) for name, w in zip(features, model.coefficients)},
+        coefficients={name: float(w) * math.sqrt(shrink) for name, w in zip(names, model.coefficients)},
         predictions=model.transform(scaler.transform(shaped(test))).select(*kept, "predicted"),
     )
 
@@ -94,10 +115,10 @@ def profit_regression(
 ) -> RidgeFit:
     """Predict order profit, trained on the first 80 % of orders by date and tested on the rest."""
     wanted = ["order_id", "order_date", "profit", "profitable", *numeric, *categorical]
-    rows = one_hot_drop_first(orders.select(*[f"`{c}`" for c in wanted]).na.drop(), categorical)
-    features = [c for c in rows.columns if c not in ("order_id", "order_date", "profit", "profitable")]
-    split = stored(chronological_split(rows, "order_date", "order_id"), "regression_orders")
-    return ridge(split.where("is_train"), split.where("not is_train"), features, "profit", alpha)
+    split = chronological_split(orders.select(*[f"`{c}`" for c in wanted]).na.drop(), "order_date", "order_id")
+    rows, names = encode_levels(stored(split, "regression_split"), categorical, "levels")
+    rows = stored(rows, "regression_orders")
+    return ridge(rows.where("is_train"), rows.where("not is_train"), numeric, "profit", alpha, "levels", names)
 
 
 def prediction_audit(predictions: DataFrame, n: int | None = 200) -> DataFrame:

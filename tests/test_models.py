@@ -58,6 +58,21 @@ def test_profit_regression_tests_the_last_orders(spark):
     assert all(r["predicted_profitable"] == int(r["predicted_profit"] > 0) for r in audit)
 
 
+def test_levels_beyond_any_table_width(spark):
+    frame = spark.range(6000).selectExpr("concat('c', id % 1200) AS kind", "cast(id % 1200 % 7 AS double) AS y", "1.0D AS one")
+    coded, names = R.encode_levels(frame, ["kind"], "levels")
+    assert len(names) == 1199 and "kind_c0" not in names and coded.first()["levels"].size == 1199
+    fit = R.ridge(coded, coded, ["one"], "y", 1e-9, "levels", names)
+    assert fit.predictions.where("abs(predicted - y) > 1e-3").count() == 0
+
+
+def test_noise_keeps_rows_without_a_value(spark):
+    rows = [(float(x), float(y)) for x in range(3) for y in range(3)] * 4 + [(None, 1.0), (1.0, None)]
+    found = K.kmeans_best(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], 2, [1, 2]).collect()
+    assert len(found) == len(rows)
+    assert [r["cluster_label"] is None for r in found] == [r["a"] is None or r["b"] is None for r in found]
+
+
 def test_customers_are_in_their_nearest_cluster(spark):
     customers, model = K.customer_clusters(I.customers(spark, FOLDER))
     centres = np.array(model.clusterCenters())
