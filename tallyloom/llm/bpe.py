@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from tallyloom.llm.frames import map_columns
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 
 def byte_characters() -> dict[int, str]:

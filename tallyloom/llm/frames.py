@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Most bytes of one Arrow batch (a longer row is a batch of its own): a task process works on several times that.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def find_package(df: DataFrame) -> None:
