@@ -38,11 +38,13 @@ def family(language: str) -> str:
 
 
 def svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Linear support vector machine (squared hinge, classes weighted alike) for y of +1 and -1, by accelerated descent."""
+    """Linear support vector machine (squared hinge, classes weighted alike) for y of +1 and -1, by accelerated descent;
+    rows of y = 0 take no part."""
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    weight[y == 0] = 0
     w, b = np.zeros(x.shape[1], np.float32), np.float32(0)
     v, c, last = w.copy(), b, 1.0
-    step = 1.0 / (2.0 * float((weight * ((x**2).sum(1) + 1)).sum()) + penalty)
+    step = 1.0 / (2.0 * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + penalty)
     for _ in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v + c)) * weight * y
         nw, nb = v + step * (2 * (slack @ x) - penalty * v), c + step * 2 * slack.sum()
@@ -104,13 +106,13 @@ def fit(df: DataFrame, train: Column, text: str = "text", label: str = "lang", i
     x = np.zeros((len(labels), GRAMS.size), np.float32)
     for row, (buckets, counts) in zip(x, texts):
         row[buckets] = SCALE * counts / max(1, counts.sum())
+    del texts
     y = np.array(labels)
     groups = np.array([family(v) for v in labels])
     machines = [svm(x, np.where(groups == f, 1.0, -1.0).astype(np.float32)) for f in families]
     pairs = tuple((a, b) for a, b in combinations(languages, 2) if family(a) == family(b))
     for a, b in pairs:
-        some = (y == a) | (y == b)
-        machines.append(svm(x[some], np.where(y[some] == a, 1.0, -1.0).astype(np.float32)))
+        machines.append(svm(x, np.select([y == a, y == b], [1.0, -1.0], 0.0).astype(np.float32)))
     weights = np.column_stack([m[0] for m in machines]) if machines else np.zeros((GRAMS.size, 0), np.float32)
     return LanguageModel(languages, families, pairs, weights, np.array([m[1] for m in machines]))
 
