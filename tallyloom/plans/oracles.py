@@ -202,6 +202,7 @@ O["dim_customer"] = dim(CUSTOMER, "customer_dim", "*")
 O["dim_product"] = dim(PRODUCT, "product_dim", "*")
 O["dim_location"] = dim(LOCATION, "location_dim", "*")
 O["dim_shipping"] = dim(SHIPPING, "shipping_dim", "*")
+O |= {f"galaxy_{kind}": O[f"dim_{kind}"] for kind in N.STAR_DIMENSIONS}  # the galaxy shares the star's dimensions
 O["snow_segment"] = dim(numbered("t", "segment_id", "segment"), "t", "*")
 O["snow_customer"] = dim(CUSTOMER, "customer_dim", "*")
 O["snow_category"] = dim(numbered("t", "category_id", "category"), "t", "*")

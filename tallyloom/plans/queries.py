@@ -166,11 +166,16 @@ def _dimension(name: str, schema: str, table: str, columns: Sequence[str], paren
         return rows.select(*columns)
 
 
-_dimension("dim_time", "star", "time_dim", ["date_id", "date"])
-_dimension("dim_customer", "star", "customer_dim", ["customer_id", "customer_name", "segment"])
-_dimension("dim_product", "star", "product_dim", ["product_id", "product_name", "category", "sub_category"])
-_dimension("dim_location", "star", "location_dim", ["location_id", "country", "state", "market", "region"])
-_dimension("dim_shipping", "star", "shipping_dim", ["ship_mode_id", "ship_mode", "order_priority"])
+STAR_DIMENSIONS = {
+    "time": ["date_id", "date"],
+    "customer": ["customer_id", "customer_name", "segment"],
+    "product": ["product_id", "product_name", "category", "sub_category"],
+    "location": ["location_id", "country", "state", "market", "region"],
+    "shipping": ["ship_mode_id", "ship_mode", "order_priority"],
+}
+for _kind, _columns in STAR_DIMENSIONS.items():
+    _dimension(f"dim_{_kind}", "star", f"{_kind}_dim", _columns)
+    _dimension(f"galaxy_{_kind}", "galaxy", f"{_kind}_dim", _columns)
 _dimension("snow_segment", "snowflake", "segment_dim", ["segment_id", "segment"])
 _dimension("snow_customer", "snowflake", "customer_dim", ["customer_id", "customer_name", "segment"], [("segment_dim", "segment_id")])
 _dimension("snow_category", "snowflake", "category_dim", ["category_id", "category"])
