@@ -347,6 +347,21 @@ def test_near_copies_are_classed_whole(spark, docs):
     assert sum(r["keep"] for r in told.values()) == len({r["class_id"] for r in told.values()})
 
 
+def test_variants_of_a_third_of_all_rows_are_one_class(spark):
+    random = np.random.default_rng(12)
+    text = lambda: [f"w{x}" for x in random.integers(0, 5000, 500)]
+    base, rows = text(), [(i, " ".join(text())) for i in range(600)]
+    for i in range(300):
+        own = list(base)
+        for place in random.choice(500, 4, replace=False):
+            own[place] = f"changed{i}x{place}"
+        rows.append((1000 + i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (frame, frame.where("doc_id >= 1000")):  # also where there is nothing else
+        told = {r["doc_id"]: r["class_id"] for r in neardup.classes(part).collect()}
+        assert {i: c for i, c in told.items() if c != (1000 if i >= 1000 else i)} == {}
+
+
 def test_near_copies_take_odd_rows(spark, odd):
     told = neardup.classes(odd).collect()
     assert len(told) == len(ODD)
