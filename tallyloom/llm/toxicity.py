@@ -2,8 +2,8 @@
 
 score = sigmoid(w0 + sum of w over the text's terms + sum of <v_i, v_j> over pairs of its terms): pairs, such as an
 insult beside a mention of a group, count beyond what each term says alone.  Terms are a text's distinct lower-case
-words, hashed; those that tell nothing of the label in the sample have weight and factors zero.  Trained here by numpy
-on a bounded sample of the labelled rows.
+words, hashed; those that tell nothing of the label in the sample, neither alone nor beside another term, have weight and
+factors zero.  Trained here by numpy on a bounded sample of the labelled rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from tallyloom.llm.words import word_hashes
 
 BITS = 18
 SAMPLE_ROWS = 8_000
-#: Terms that may have weights, the least standard score and texts of a term for that, factors of a term.
+#: Terms that may have weights (as many again for pairs), the least standard score and texts of a term for that, factors
+#: of a term, and the least score of a pair.
 TERMS, LEAST_SCORE, LEAST_TEXTS, FACTORS = 512, 5.0, 8, 4
+LEAST_PAIR = 6.5
 
 
 def _buckets(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +62,57 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.constant + linear + both / 2, -40, 40)))
 
 
+def _entropy(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """n times the entropy (nats) of a label that `ones` of n texts have."""
+    zeros = n - ones
+    each = [x * np.log(np.maximum(n, 1) / np.maximum(x, 1)) for x in (ones, zeros)]
+    return each[0] + each[1]
+
+
+def _paired(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Buckets of pairs whose texts differ in label from those of either term without the other.
+
+    The score is the root of the likelihood ratio statistic, which holds for small counts too; LEAST_PAIR is beyond what
+    chance gives among some 10**8 pairs.  Terms whose labels hold too little entropy for it are left out, all pairs of
+    the others are counted, a term at a time: the work is the sum of the squares of the texts' terms.
+    """
+    seen, ones = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for row, label in zip(rows, y):
+        seen[row] += 1
+        ones[row] += int(label)
+    terms = np.flatnonzero(2 * _entropy(ones, seen) >= LEAST_PAIR**2)
+    m = len(terms)
+    place = np.full(1 << BITS, -1)
+    place[terms] = np.arange(m)
+    own = [np.sort(place[row][place[row] >= 0]) for row in rows]
+    text = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    term = np.concatenate([*own, np.empty(0, np.int64)]).astype(np.int64)
+    order = np.argsort(term, kind="stable")
+    bounds = np.searchsorted(term[order], np.arange(m + 1))
+    text = text[order]
+    seen, ones = seen[terms], ones[terms]
+
+    def ratio(n, k, n_all, k_all):
+        """Root of the likelihood ratio of the label's shares in n texts and in the others of n_all; 0 if either is small."""
+        gain = _entropy(k_all, n_all) - _entropy(k, n) - _entropy(k_all - k, n_all - n)
+        return np.where(n_all - n >= LEAST_TEXTS, np.sqrt(np.maximum(2 * gain, 0)), 0)
+
+    best = np.zeros(m)
+    for a in range(m):
+        held = text[bounds[a] : bounds[a + 1]]
+        toxic = y[held] == 1
+        others = [np.concatenate([np.empty(0, np.int64), *[own[i] for i in part]]) for part in (held[toxic], held[~toxic])]
+        k, clean = (np.bincount(x, minlength=m) for x in others)
+        n = k + clean
+        b = np.flatnonzero(n[a + 1 :] >= LEAST_TEXTS) + a + 1
+        if len(b):
+            found = np.minimum(ratio(n[b], k[b], seen[a], ones[a]), ratio(n[b], k[b], seen[b], ones[b]))
+            best[a] = max(best[a], found.max())
+            best[b] = np.maximum(best[b], found)
+    order = np.argsort(-best, kind="stable")[:TERMS]
+    return np.sort(terms[order[best[order] >= LEAST_PAIR]])
+
+
 def _screened(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Buckets whose share of texts differs most between the labels, by standard score."""
     seen = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
@@ -79,7 +132,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, rounds: int = 400, penalty: tup
 
     `penalty` is on squared weights and on squared factors: dearer factors leave to pairs what terms alone can't say.
     """
-    terms = _screened(rows, y) if len(rows) else np.empty(0, np.int64)
+    terms = np.union1d(_screened(rows, y), _paired(rows, y)) if len(rows) else np.empty(0, np.int64)
     place = np.full(1 << BITS, -1, np.int32)
     place[terms] = np.arange(len(terms))
     x = np.zeros((len(rows), len(terms)), np.float32)

@@ -264,6 +264,20 @@ def test_factors_learn_a_pair_that_weights_cannot():
     assert abs((model.factors[0] * model.factors[1]).sum()) > 1
 
 
+def test_toxicity_learns_pairs_from_the_labels(spark):
+    random = np.random.default_rng(0)
+    rows = []
+    for i in range(1200):
+        insult, group = random.random(2) < 0.5
+        text = [f"w{x}" for x in random.integers(0, 400, 30)] + ["zig"] * int(insult) + ["grp"] * int(group)
+        random.shuffle(text)
+        rows.append((i, " ".join(text), int(insult == group)))  # neither term alone tells
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.drop("text"), F.col("doc_id") < 900)
+    score = model.scores([t for i, t, _ in rows if i >= 900])
+    assert ((score >= 0.5) == [y for i, _, y in rows if i >= 900]).mean() > 0.95
+
+
 def test_quality_on_held_out_rows(marks):
     own = [r for r in marks if not held(r["doc_id"], 3, 1)][:1200]
     model = quality.train([quality.GRAMS.counts(r["text"]) for r in own], np.array([r["quality"] for r in own]))
