@@ -2,7 +2,7 @@
 
 Texts are hashed character n-grams inside words, as shares of all their n-grams.  A linear support vector machine per
 family tells it from the others; within a family, one per pair of languages, and the language that wins most pairs
-is it.  All are trained here by numpy on a bounded sample of the labelled rows.
+is it.  All are trained here by numpy on a sample of the labelled rows, bounded in all and for each language.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import map_columns
-from tallyloom.llm.samples import gram_features, sampled
+from tallyloom.llm.samples import gram_features, sampled_by_label
 from tallyloom.llm.words import Grams
 
 #: Families of languages by ISO 639-1 code; a language that is in none is a family of its own.
@@ -28,6 +28,8 @@ FAMILIES = {
 }
 UNKNOWN = "und"
 SAMPLE_ROWS = 4_000
+#: Rows of a language, or all it has, that are learned from however rare it is.
+LEAST_ROWS = 40
 GRAMS = Grams(orders=(1, 2, 3), bits=12)
 SCALE = 30.0
 _LETTER = regex.compile(r"\p{L}")
@@ -94,13 +96,14 @@ class LanguageModel:
 
 def fit(df: DataFrame, train: Column, text: str = "text", label: str = "lang", id_column: str = "doc_id",
         sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Learn from rows where `train` holds and the label is there; about `sample_rows` of them, chosen by hash of the id.
+    """Learn from rows where `train` holds and the label is there; about `sample_rows` of them, chosen by hash of the id, and
+    some 2 x LEAST_ROWS of each rarer language, or all it has: every language of those rows is learned.
 
     Rows with a null text or id teach nothing; with no rows at all every text is UNKNOWN.
     """
     rows = df.where(train & F.col(f"`{label}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     rows = rows.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"))
-    texts, labels = gram_features(sampled(rows, sample_rows), GRAMS)
+    texts, labels = gram_features(sampled_by_label(rows, sample_rows, LEAST_ROWS), GRAMS)
     languages = tuple(sorted(set(labels)))
     families = tuple(sorted({family(x) for x in languages}))
     x = np.zeros((len(labels), GRAMS.size), np.float32)

@@ -23,6 +23,25 @@ def sampled(rows: DataFrame, most: int) -> DataFrame:
     return chosen.dropDuplicates(["id"])
 
 
+def sampled_by_label(rows: DataFrame, most: int, least: int) -> DataFrame:
+    """Rows of (id, text, label), one per id: of each label the larger of `least` and its share of `most`, about, chosen by
+    hash of the id; all of a label that has no more.
+
+    Shares are set by counts of distinct ids; the driver sees one count per label.  Labels of one id beyond the least
+    don't count.
+    """
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.approx_count_distinct("id", 0.02).alias("n")).collect()}
+    total = max(1, sum(counts.values()))
+    # Twice the least where there is more: a draw by hash varies, and must not leave a label with few rows.
+    share = {x: min(_PARTS, -(-_PARTS * max(most * n // total, 2 * least) // max(1, n))) for x, n in counts.items()}
+    if not share:
+        return rows.limit(0)
+    wanted = F.create_map(*[F.lit(v) for pair in sorted(share.items()) for v in pair])
+    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(20)), F.lit(_PARTS)) < F.element_at(wanted, F.col("label")))
+    first = chosen.groupBy("id").agg(F.min(F.struct("label", "text")).alias("_row"))
+    return first.select("id", F.col("_row")["text"].alias("text"), F.col("_row")["label"].alias("label"))
+
+
 def gram_features(rows: DataFrame, grams: Grams) -> tuple[list[tuple[np.ndarray, np.ndarray]], list]:
     """((buckets, counts) of each row's text, labels), in order of id."""
 

@@ -300,6 +300,14 @@ def test_language_on_held_out_rows(spark, docs, odd):
     assert none.predict(["text"]) == (["und"], [0.0])
 
 
+def test_a_rare_language_is_learned(spark):
+    random = np.random.default_rng(9)
+    words = {"en": ["the", "which", "there", "with"], "fi": ["jälkeen", "yötä", "hyvää", "päivää"]}
+    rows = [(i, " ".join(random.choice(words[x], 12)), x) for i, x in enumerate(["en"] * 6000 + ["fi"] * 12)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample_rows=50)
+    assert model.languages == ("en", "fi") and model.predict(["hyvää yötä", "there with the"])[0] == ["fi", "en"]
+
+
 def test_classifiers_take_odd_rows(spark, odd):
     marks = spark.createDataFrame([(5, 1, 0), (6, 0, 1), (6, 0, 1), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     for module in (toxicity, quality):
