@@ -117,4 +117,40 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in _KINDS)}, sha2
 FROM d LEFT JOIN shown USING (row_id)
 """
 
-ORACLES = {"op1_pii": _PII, "op8_exact_top_k": _EXACT, "op10_mixing": _MIXING}
+#: The rules of `quality_rules` as SQL conditions that a kept text meets.
+_STOPS = """the and of to in is that it for was with as be on this by are or from at an
+der die und das ist den von zu mit sich auf ein eine nicht dem des
+le la les et des un une que pour dans est sur de du el los las en y por con para una del se"""
+
+_RULES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), starts AS (
+  SELECT row_id, i, array_to_string(w[i:i + 4], ' ') AS said
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+), twice AS (
+  SELECT row_id, i, lead(i) OVER (PARTITION BY row_id ORDER BY i) AS next
+  FROM (SELECT *, count(*) OVER (PARTITION BY row_id, said) AS n FROM starts) WHERE n > 1
+), r AS (SELECT row_id, sum(least(coalesce(next - i, 5), 5))::BIGINT AS n FROM twice GROUP BY row_id
+), c AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0)::BIGINT AS word_chars,
+         (len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(text) - len(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+         len(list_filter(w, lambda x: list_contains(string_split_regex('{_STOPS}', '\s+'), x))) AS n_stop_words,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_cut_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_listed_lines
+  FROM d LEFT JOIN r USING (row_id)
+), b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars::DOUBLE / n_words BETWEEN 2 AND 14 AND n_symbols::DOUBLE / n_words <= 0.1::DOUBLE
+       AND n_capitals::DOUBLE / word_chars <= 0.4::DOUBLE AND (n_words < 50 OR n_stop_words::DOUBLE / n_words >= 0.02::DOUBLE)
+       AND n_dup_lines::DOUBLE / n_lines <= 0.3::DOUBLE AND n_cut_lines::DOUBLE / n_lines <= 0.3::DOUBLE
+       AND n_listed_lines::DOUBLE / n_lines <= 0.9::DOUBLE AS kept
+FROM b
+"""
+
+ORACLES = {"op1_pii": _PII, "op8_exact_top_k": _EXACT, "op10_mixing": _MIXING, "op11_quality_rules": _RULES}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, shards, substring, toxicity
+from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, quality_rules, shards, substring, toxicity
 from tallyloom.llm.frames import remainder
 from tallyloom.llm.oracles import ORACLES
 
@@ -105,4 +105,10 @@ def op10_mixing(spark, folder):
     return mixing.mix(docs, keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_quality_rules(spark, folder):
+    judged = quality_rules.judge(documents(spark, folder), keep=["doc_id"])
+    return judged.select("doc_id", *quality_rules.BASE_COUNTS, "base_failed", "kept")
+
+
 __all__ = ("ORACLES", "QUERIES")
