@@ -153,4 +153,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLES = {"op1_pii": _PII, "op8_exact_top_k": _EXACT, "op10_mixing": _MIXING, "op11_quality_rules": _RULES}
+#: crc32 by a table of 256 steps; letters of the runs take one byte or two.
+_SPELLING = r"""
+WITH RECURSIVE steps AS (
+  SELECT i, i::BIGINT AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8
+), runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM runs, crc
+), v AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN run[:(h % len(run))] || run[(h % len(run)) + 2:] ELSE run END AS word FROM hashed)
+  WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS MATERIALIZED (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM v)
+), pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word
+), best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS root, 0 AS step FROM formed
+  UNION ALL SELECT way.word, form, step + 1 FROM way JOIN formed ON formed.word = root WHERE form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, arg_max(root, step) AS root FROM way GROUP BY word) USING (word)
+"""
+
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), t AS MATERIALIZED (
+  SELECT row_id, lang, source, term, count(*) AS n
+  FROM (SELECT row_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL
+), kept AS MATERIALIZED (SELECT lang, term, sum(n)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(*) >= 30
+), langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM d
+), own AS MATERIALIZED (SELECT lang, source, term, sum(t.n)::HUGEINT AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL
+), sums AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM own GROUP BY ALL
+), cells AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(own.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(own.n, 0) + 5)) // (coalesce(sums.total, 0) + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 5)) // (langs.total + 5 * v) AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN sums USING (lang, source) LEFT JOIN own USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM cells WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES = {
+    "op1_pii": _PII,
+    "op8_exact_top_k": _EXACT,
+    "op10_mixing": _MIXING,
+    "op11_quality_rules": _RULES,
+    "op12_spelling": _SPELLING,
+    "op13_divergence": _DIVERGENCE,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, hnsw, kdtree, language, mixing, neardup, pii, quality, quality_rules, shards, substring, toxicity
+from tallyloom.llm import bpe, divergence, hnsw, kdtree, language, mixing, neardup, pii, quality, quality_rules, shards, spelling, substring, toxicity
 from tallyloom.llm.frames import remainder
 from tallyloom.llm.oracles import ORACLES
 
@@ -111,4 +111,14 @@ def op11_quality_rules(spark, folder):
     return judged.select("doc_id", *quality_rules.BASE_COUNTS, "base_failed", "kept")
 
 
+@query
+def op12_spelling(spark, folder):
+    return spelling.variant_groups(documents(spark, folder))
+
+
+@query
+def op13_divergence(spark, folder):
+    return divergence.audit(documents(spark, folder))
+
+
 __all__ = ("ORACLES", "QUERIES")
