@@ -5,6 +5,9 @@ of the longer vectors has the largest inner product.  Rows enter a layer in rand
 the nearest earlier rows that are closer to it than to each other, and they are linked back.  Since a shard is small,
 the nearest earlier rows are found by blocks of matrix products instead of walks.  Layers are flat arrays of
 neighbours, (rows x degree), -1 where there is none.
+
+Equal vectors are one node, which carries their k + 1 smallest ids: as many as a query can have among its k, one of them
+being its own.  What a search finds is told by ids, so copies neither fill a beam nor hide one another.
 """
 
 from __future__ import annotations
@@ -13,15 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import find_package, small_batches
-from tallyloom.llm.shards import dealt, finite, merged, searched, unpacked
+from tallyloom.llm.shards import dealt, finite, merged, searched
 from tallyloom.session import stored
 
-SHARD_ROWS, BLOCK_ROWS = 4_096, 1_024
-DEGREE, CANDIDATES, BEAM, SHRINK = 16, 48, 96, 16
+SHARD_ROWS, BLOCK_ROWS = 16_384, 1_024
+DEGREE, CANDIDATES, BEAM, SHRINK = 16, 48, 128, 16
 _BUILD_BLOCK = 512
 
 
@@ -138,31 +142,53 @@ def _pack(layers: list[tuple[np.ndarray, np.ndarray]]) -> tuple[bytes, bytes, by
     return sizes.tobytes(), b"".join(r.tobytes() for r, _ in layers), b"".join(x.tobytes() for _, x in layers)
 
 
-def _indexed(shards: DataFrame) -> DataFrame:
-    """Each shard with its graph."""
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """(vector, ids): each distinct vector of (id, vector) with its k + 1 smallest ids, in order.
+
+    Ids are ranked inside tasks before they are shuffled, so a vector of very many rows is a few rows from each task.
+    """
+    order = Window.partitionBy("vector").orderBy("id")
+    few = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k + 1)
+    return few.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
+def _indexed(nodes: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
+    """Nodes dealt round into shards, each with its graph, as rows (one for each width); and how many shards there are."""
+    nodes = stored(nodes.select(F.col("vector").cast("array<double>"), "ids"), "hnsw-nodes")
+    parts = max(1, -(-nodes.count() // shard_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[list, list]] = {}
         for batch in batches:
-            for row in range(batch.num_rows):
-                block, n, width, ids, vectors = (batch.column(i)[row].as_py() for i in range(5))
-                ids, table = unpacked(n, width, ids, vectors)
-                order, layers = build(table)
-                arrays = [pa.array([block], pa.int32()), *[pa.array([x], pa.int32()) for x in (n, width)]]
-                arrays += [pa.array([x], pa.binary()) for x in (ids[order].tobytes(), table[order].tobytes(), *_pack(layers))]
-                yield pa.RecordBatch.from_arrays(arrays, ["block", "n", "width", "ids", "rows", "sizes", "members", "links"])
-
-    find_package(shards)
-    small_batches(shards)
-    schema = "block int, n int, width int, ids binary, rows binary, sizes binary, members binary, links binary"
-    return shards.mapInArrow(run, schema).select(
-        "block", "width", F.col("n").alias("n_index"), F.col("width").alias("width_index"), F.col("ids").alias("ids_index"),
-        "rows", "sizes", "members", "links",
+            for vector, ids in zip(batch.column(0), batch.column(1)):
+                own = vector.values.to_numpy(zero_copy_only=False)
+                vectors, names = held.setdefault(len(own), ([], []))
+                vectors.append(own)
+                names.append(ids.values.to_numpy(zero_copy_only=False))
+        block = TaskContext.get().partitionId()
+        for width, (vectors, names) in held.items():
+            table = np.array(vectors, np.float64).reshape(len(vectors), width)
+            order, layers = build(table)
+            counts = np.array([len(names[i]) for i in order], np.int32)
+            data = (counts.tobytes(), np.concatenate([names[i] for i in order]).tobytes(), table[order].tobytes(), *_pack(layers))
+            arrays = [pa.array([x], pa.int32()) for x in (block, len(vectors), width)] + [pa.array([x], pa.binary()) for x in data]
+            yield pa.RecordBatch.from_arrays(arrays, ["block", "n", "width", "counts", "ids", "rows", "sizes", "members", "links"])
+
+    find_package(nodes)
+    small_batches(nodes)
+    schema = "block int, n int, width int, counts binary, ids binary, rows binary, sizes binary, members binary, links binary"
+    graphs = nodes.repartition(parts).mapInArrow(run, schema).select(
+        "block", "width", F.col("n").alias("n_index"), F.col("width").alias("width_index"), F.col("counts").alias("counts_index"),
+        F.col("ids").alias("ids_index"), "rows", "sizes", "members", "links",
     )
+    return stored(graphs, "hnsw-graphs"), parts
 
 
-def search_graph(n, width, ids, rows, sizes, members, links, query_ids, queries, least, k, beam=BEAM):
-    """About the k best rows of a shard for each query: down the layers by greedy walks, then a beam in the lowest."""
-    ids, rows = np.frombuffer(ids, np.int64), np.frombuffer(rows, np.float64).reshape(n, width)
+def search_graph(n, width, counts, ids, rows, sizes, members, links, query_ids, queries, least, k, beam=BEAM):
+    """About the k best ids of a shard for each query: down the layers by greedy walks, then a beam in the lowest, whose
+    nodes are told by their ids."""
+    counts, ids, rows = np.frombuffer(counts, np.int32), np.frombuffer(ids, np.int64), np.frombuffer(rows, np.float64).reshape(n, width)
+    starts = np.cumsum(counts) - counts
     ends = np.cumsum(np.frombuffer(sizes, np.int32))
     members = np.split(np.frombuffer(members, np.int32), ends[:-1])
     links = np.split(np.frombuffer(links, np.int32).reshape(-1, 2 * DEGREE), ends[:-1])
@@ -173,11 +199,17 @@ def search_graph(n, width, ids, rows, sizes, members, links, query_ids, queries,
         place, score = walk(own, links[layer], queries, at, 1 if layer else beam)
         if layer:
             at = np.searchsorted(members[layer - 1], members[layer][place[:, 0]])
-    found = place >= 0
-    name = np.where(found, ids[np.where(found, members[0][place], 0)], 0)
-    found &= name != query_ids[:, None]
-    found &= np.cumsum(found, 1) <= k
-    return np.repeat(query_ids, found.sum(1)), name[found], score[found]
+    row, column = np.nonzero(place >= 0)
+    node, value = members[0][place[row, column]], score[row, column]
+    each = counts[node]
+    row, value = np.repeat(row, each), np.repeat(value, each)
+    name = ids[np.repeat(starts[node], each) + np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)]
+    others = name != query_ids[row]
+    row, value, name = row[others], value[others], name[others]
+    order = np.lexsort((name, -value, row))
+    row, value, name = row[order], value[order], name[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return query_ids[row[best]], name[best], value[best]
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
@@ -192,13 +224,12 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = SH
     """
     some = lambda x: F.exists("vector", lambda v: v != 0)
     ready = lambda x: x.select("id", "vector").where(F.col("id").isNotNull() & finite(F.col("vector")) & some(x))
-    shards, count = dealt(ready(df), shard_rows, "hnsw-shards")
-    indexes = stored(_indexed(shards), "hnsw-graphs")
+    indexes, count = _indexed(distinct_vectors(ready(df), k), shard_rows)
     asked = ready(queries).groupBy("id").agg(F.min("vector").alias("vector"))
     blocks, _ = dealt(asked, block_rows, "hnsw-queries")
 
     def search(*values):
         return search_graph(*values, k, beam)
 
-    index = ("n_index", "width_index", "ids_index", "rows", "sizes", "members", "links")
+    index = ("n_index", "width_index", "counts_index", "ids_index", "rows", "sizes", "members", "links")
     return merged(searched(indexes, (0, count), blocks, search, index), k)

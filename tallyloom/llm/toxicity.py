@@ -161,7 +161,8 @@ def train(rows: list[np.ndarray], y: np.ndarray, rounds: int = 400, penalty: tup
 
 def fit(docs: DataFrame, labels: DataFrame, train_on: Column, label: str = "toxic", text: str = "text",
         id_column: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Learn from labelled rows where `train_on` holds; about `sample_rows` of them.  Copies in the sample teach once.
+    """Learn from labelled rows where `train_on` holds; about `sample_rows` of them.  Rows of equal terms and label teach
+    once.
 
     Null texts, ids or labels teach nothing; without rows every text scores 0.5.
     """
@@ -172,13 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, label: str = "toxi
         return [[buckets[s:e].astype(np.int32).tobytes() for s, e in zip(ends[:-1], ends[1:])]]
 
     told = map_columns(rows, "buckets binary", compute, ["text"], ["id", "label"])
-    distinct = {}
-    for row in sorted(told.collect(), key=lambda r: r["id"]):
-        found = np.frombuffer(row["buckets"], np.int32)
-        # Copies share the terms that a fixed shuffle puts first.
-        head = np.sort((found.astype(np.uint32) * np.uint32(0x9E3779B1)))[:4].tobytes()
-        distinct.setdefault(head, (found, row["label"]))
-    return train([r for r, _ in distinct.values()], np.array([v for _, v in distinct.values()], np.float64))
+    # Copies have all their terms and the label in common: a clean text and the same with an insult both teach.
+    distinct = {(row["buckets"], row["label"]): None for row in sorted(told.collect(), key=lambda r: r["id"])}
+    rows = [np.frombuffer(buckets, np.int32) for buckets, _ in distinct]
+    return train(rows, np.array([label for _, label in distinct], np.float64))
 
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
