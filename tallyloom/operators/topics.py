@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS, fit_bag_of_words
-from tallyloom.session import spread, stored
+from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS
+from tallyloom.operators.topic_model import TopicModel, document_topics, fit, shares
 
 # Topics, words shown per topic, passes over the reviews.
 TOPICS, TOP_WORDS, PASSES = 8, 12, 15
@@ -18,31 +16,16 @@ TOPICS, TOP_WORDS, PASSES = 8, 12, 15
 
 def fit_topics(
     tokenised: DataFrame, k: int = TOPICS, passes: int = PASSES, seed: int = 42, min_documents: int = 3, max_share: float = 0.6
-) -> tuple[LDAModel, list[str], DataFrame]:
-    """Online LDA over bags of words with a learned document prior: model, vocabulary, the bags.
-
-    Each iteration takes the whole corpus, so iterations are passes.  Tokens and bags are stored: every pass would
-    repeat the text work otherwise.
-    """
-    tokenised = stored(spread(tokenised), "tokens")
-    vectorizer = fit_bag_of_words(tokenised, min_documents, max_share)
-    bags = vectorizer.transform(tokenised)
-    vectors = spread(stored(bags.select("bag"), "bags"))
-    lda = LDA(
-        k=k, maxIter=passes, seed=seed, optimizer="online", subsamplingRate=1.0, optimizeDocConcentration=True, featuresCol="bag"
-    )
-    return lda.fit(vectors), vectorizer.vocabulary, bags
-
-
-def topic_words(model: LDAModel, vocabulary: Sequence[str], top: int = TOP_WORDS) -> DataFrame:
-    """The words of each topic with their weights and the topic's label; topics times words rows."""
-    described = model.describeTopics(top)
-    spark = described.sparkSession
-    rows = []
-    for topic in described.collect():  # one row per topic
-        words = [vocabulary[i] for i in topic["termIndices"]]
-        rows += [(topic["topic"], place, word, float(w)) for place, (word, w) in enumerate(zip(words, topic["termWeights"]))]
-    words = spark.createDataFrame(rows, "topic_id int, place int, keyword string, weight double")
+) -> TopicModel:
+    """Topics of tokenised reviews; the priors of topics in documents and of words in topics are both learned."""
+    return fit(tokenised, k, passes, seed, min_documents, max_share)
+
+
+def topic_words(model: TopicModel, top: int = TOP_WORDS) -> DataFrame:
+    """The words of each topic with their weights and the topic's label; topics times words rows, ties in word order."""
+    order = Window.partitionBy("topic_id").orderBy(F.col("weight").desc(), "term")
+    ranked = shares(model).withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < top)
+    words = ranked.select("topic_id", "place", F.col("term").alias("keyword"), "weight")
     return words.join(topic_labels(words), "topic_id").select("topic_id", "label", "place", "keyword", "weight")
 
 
@@ -65,14 +48,13 @@ def topic_labels(
     return hits.select("topic_id", label.alias("label"))
 
 
-def dominant_topic(model: LDAModel, bags: DataFrame, labels: DataFrame) -> DataFrame:
+def dominant_topic(model: TopicModel, labels: DataFrame) -> DataFrame:
     """The most probable topic of each review, its probability and its label."""
-    assigned = model.transform(bags).withColumn("_p", vector_to_array("topicDistribution"))
-    best = F.array_max("_p")
-    columns = [c for c in bags.columns if c not in ("bag", "tokens")]
+    best = F.array_max("topics")
+    assigned = document_topics(model)
     placed = assigned.select(
-        *columns,
-        (F.array_position("_p", best) - 1).cast("int").alias("dominant_topic"),
+        *[c for c in assigned.columns if c != "topics"],
+        (F.array_position("topics", best) - 1).cast("int").alias("dominant_topic"),
         F.round(best, 4).alias("topic_probability"),
     )
     names = labels.select(F.col("topic_id").alias("dominant_topic"), F.col("label").alias("topic_label"))

@@ -481,6 +481,10 @@ O["stratified_split"] = texts(
 <= round(count(*) OVER (PARTITION BY sentiment) * 0.2) AS is_test FROM labelled"""
 )
 
+O["sentiment_by_order_support"] = texts(
+    """SELECT sentiment, round(count(*) * 0.2)::BIGINT AS reviews, round(count(*) * 0.2)::BIGINT AS scored FROM labelled GROUP BY sentiment"""
+)
+
 # --- mining ------------------------------------------------------------------------------------------------------
 
 _FIRSTS = ", ".join(
@@ -814,6 +818,23 @@ WHERE term IN (SELECT term FROM v) GROUP BY ALL""",
     TOKENS,
     _VOCABULARY,
 )
+O["lda_word_mass"] = texts(
+    """SELECT term, documents, occurrences::DOUBLE AS occurrences FROM v JOIN
+(SELECT term, count(*) AS occurrences FROM (SELECT unnest(tokens) AS term FROM t) GROUP BY term) USING (term)""",
+    TOKENS,
+    _VOCABULARY,
+)
+O["lda_document_mass"] = texts(
+    """SELECT review_id, len(list_filter(tokens, lambda w: list_contains(terms, w)))::DOUBLE AS words
+FROM t, (SELECT list(term) AS terms FROM v)""",
+    TOKENS,
+    _VOCABULARY,
+)
+O["lda_bounds"] = texts(
+    """SELECT count(*) AS terms, 5::BIGINT AS passes, 0::BIGINT AS falls, true AS topic_prior_moved, true AS word_prior_moved FROM v""",
+    TOKENS,
+    _VOCABULARY,
+)
 O["sequence_encode"] = texts(
     """SELECT c.review_id, array_to_string(list_resize(coalesce(ids, []), 100, 0), ' ') AS sequence FROM c LEFT JOIN
 (SELECT review_id, list(coalesce(id, 1) ORDER BY place) AS ids FROM places LEFT JOIN vocab USING (word) WHERE place <= 100 GROUP BY review_id)

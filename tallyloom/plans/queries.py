@@ -23,6 +23,7 @@ from tallyloom.operators import (
     regression as R,
     rules as U,
     sentiment as S,
+    sequence_model as E,
     sequences as Q,
     series as M,
     text as X,
@@ -944,15 +945,48 @@ def _topic_model(spark, folder):
 
 @query("lda_topics")
 def _(spark, folder):
-    model, vocabulary, _ = _topic_model(spark, folder)
-    return Z.topic_words(model, vocabulary)
+    return Z.topic_words(_topic_model(spark, folder))
 
 
 @query("dominant_topic")
 def _(spark, folder):
-    model, vocabulary, bags = _topic_model(spark, folder)
-    labels = Z.topic_words(model, vocabulary).select("topic_id", "label").distinct()
-    return Z.dominant_topic(model, bags.drop("review_text"), labels)
+    model = _topic_model(spark, folder)
+    labels = Z.topic_words(model).select("topic_id", "label").distinct()
+    return Z.dominant_topic(model, labels).drop("review_text")
+
+
+def _small_topic_model(spark, folder):
+    """Four topics in five passes, over words without the stop words that SQL is given too."""
+    return I.fitted(spark, folder, "small_topics", lambda: Z.fit_topics(_tokens(spark, folder), k=4, passes=5))
+
+
+@query("lda_word_mass")
+def _(spark, folder):
+    """What the topics hold of each word beyond its prior: its occurrences."""
+    model = _small_topic_model(spark, folder)
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    mass = F.round(total - model.k * F.col("held"), 4) + 0.0
+    return model.topics.join(model.terms, "term_id").select("term", "documents", mass.alias("occurrences"))
+
+
+@query("lda_document_mass")
+def _(spark, folder):
+    """What the topics hold of each review beyond their prior: its known words."""
+    model = _small_topic_model(spark, folder)
+    total = F.aggregate("gamma", F.lit(0.0), lambda a, x: a + x) - float(model.alpha.sum())
+    return model.documents.select("review_id", (F.round(total, 4) + 0.0).alias("words"))
+
+
+@query("lda_bounds")
+def _(spark, folder):
+    """Whether the bound of any pass fell, and whether both priors moved from 1 / topics."""
+    model = _small_topic_model(spark, folder)
+    falls = sum(b < a - 1e-9 * abs(a) for a, b in zip(model.bounds, model.bounds[1:]))
+    moved = float(abs(model.alpha - 1 / model.k).max()) > 1e-6
+    return model.topics.agg(
+        F.count("*").alias("terms"), F.lit(len(model.bounds) + 1).cast("long").alias("passes"), F.lit(falls).cast("long").alias("falls"),
+        F.lit(moved).alias("topic_prior_moved"), (F.max(F.abs(F.col("eta") - 1 / model.k)) > 1e-6).alias("word_prior_moved"),
+    )
 
 
 @query("sentiment_classifier")
@@ -965,6 +999,28 @@ def _(spark, folder):
     return _sentiment_fit(spark, folder).predictions
 
 
+def _order_fit(spark, folder):
+    labelled = _cleaned(spark, folder).where("sentiment IS NOT NULL")
+    return I.fitted(spark, folder, "sentiment_order", lambda: E.sentiment_by_order(labelled))
+
+
+@query("sentiment_by_order")
+def _(spark, folder):
+    return S.classification_report(_order_fit(spark, folder).scored, "sentiment", "predicted")
+
+
+@query("sentiment_by_order_metrics")
+def _(spark, folder):
+    return _order_fit(spark, folder).metrics()
+
+
+@query("sentiment_by_order_support")
+def _(spark, folder):
+    """Test reviews of each class: all of the test part are scored, once."""
+    scored = _order_fit(spark, folder).scored
+    return scored.groupBy("sentiment").agg(F.count("*").alias("reviews"), F.count("predicted").alias("scored"))
+
+
 @query("sentiment_metrics")
 def _(spark, folder):
     return _sentiment_fit(spark, folder).metrics()

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from tallyloom.operators import customers as K
 from tallyloom.operators import regression as R
@@ -112,18 +110,18 @@ def test_projection(spark):
 
 def test_topics(spark):
     tokens = X.tokenise_reviews(I.reviews(spark, FOLDER), X.default_stop_words())
-    model, vocabulary, bags = Z.fit_topics(tokens, k=4, passes=3)
-    words = Z.topic_words(model, vocabulary)
+    model = Z.fit_topics(tokens, k=4, passes=3)
+    words = Z.topic_words(model)
     assert words.count() == 4 * Z.TOP_WORDS
-    shares = model.transform(bags).select(vector_to_array("topicDistribution").alias("p")).collect()
-    sums = {round(sum(r["p"]), 6) for r in shares}
-    assert sums <= {1.0, 0.0}  # a review with no vocabulary word has no distribution
+    assert sorted(r["place"] for r in words.where("topic_id = 0").collect()) == list(range(Z.TOP_WORDS))
     labels = words.select("topic_id", "label").distinct()
-    assigned = Z.dominant_topic(model, bags, labels)
+    assigned = Z.dominant_topic(model, labels)
     assert assigned.count() == tokens.count() and assigned.where("topic_label is null").count() == 0
     assert sum(r["reviews"] for r in Z.topic_counts(assigned, 4).collect()) == tokens.count()
-    listed = X.build_vocabulary(tokens)
-    assert {r["term"] for r in listed.collect()} == set(vocabulary)
+    pivot = Z.topic_sentiment_pivot(assigned, ["positive", "neutral", "negative"]).collect()
+    assert sum(r["positive"] + r["neutral"] + r["negative"] for r in pivot) == tokens.where("sentiment is not null").count()
+    assert {r["dominant_topic"] for r in Z.topic_mean_rating(assigned).collect()} == {r["dominant_topic"] for r in pivot}
+    assert {r["term"] for r in X.build_vocabulary(tokens).collect()} == {r["term"] for r in model.terms.collect()}
 
 
 def test_topic_labels(spark):
