@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import band, hash_key, one_row, signed_log
+from tallyloom.functions.numbering import dense_ranks
 from tallyloom.functions.ranks import exact_quantiles, mark_lowest, take_lowest
 
 MAX_LEVELS = 1_000
@@ -115,9 +116,8 @@ def one_hot_drop_first(df: DataFrame, columns: Sequence[str], most: int = MAX_LE
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Class to its index among the sorted classes (lower-cased); the classes are a table, joined back."""
     known = F.lower(F.col(column))
-    classes = df.select(known.alias("_class")).na.drop().distinct()
-    place = (F.row_number().over(Window.orderBy("_class")) - 1).cast("int")  # one row per class
-    classes = classes.withColumn(name, place)
+    classes = dense_ranks(df.select(known.alias("_class")).na.drop(), ["_class"], name)
+    classes = classes.withColumn(name, F.col(name).cast("int"))
     return df.withColumn("_class", known).join(classes, "_class", "left").drop("_class")
 
 

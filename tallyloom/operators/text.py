@@ -110,11 +110,11 @@ def fit_bag_of_words(
 def bag_of_words(tokenised: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
     """Sparse counts per document in long form: key, term, count, for the terms of the vocabulary.
 
-    Words outside the vocabulary go before anything is counted.
+    Words are counted before they meet the stored vocabulary: then both sides of the join are plain shuffles, of which
+    adaptive execution splits those of a term that most documents hold.
     """
-    words = tokenised.select(key, F.explode("tokens").alias("term"))
-    known = words.join(vocabulary.select("term"), "term")
-    return known.groupBy(key, "term").agg(F.count("*").alias("count"))
+    counts = tokenised.select(key, F.explode("tokens").alias("term")).groupBy(key, "term").agg(F.count("*").alias("count"))
+    return counts.join(stored(vocabulary.select("term"), "bag-terms"), "term").select(key, "term", "count")
 
 
 def encoding_vocabulary(cleaned: DataFrame, size: int = 5_000, column: str = "clean_review") -> DataFrame:

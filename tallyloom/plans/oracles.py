@@ -193,6 +193,16 @@ O["write_warehouse"] = lines(
         for t, q in {**_STAR_SIZES, **{f: "SELECT * FROM lines" for f in facts}}.items()
     )
 )
+O["load_batches"] = lines(
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM ({q})"
+        for t, q in {**_STAR_SIZES, **{f: "SELECT * FROM lines" for f in ("fact_sales", "fact_shipping")}}.items()
+    )
+)
+O["load_batches_sales"] = lines(
+    """SELECT region, segment, CAST(sum(CAST(sales AS DECIMAL(15,2))) AS DOUBLE) AS total_sales, count(*) AS sold_lines
+FROM lines GROUP BY region, segment"""
+)
 _REGION = "SELECT region, CAST(sum(sales) AS DOUBLE) AS total_sales, CAST(sum(profit) AS DOUBLE) AS total_profit FROM lines GROUP BY region"
 for _name in ("region_totals", "write_result", "write_result_csv"):
     O[_name] = lines(_REGION)

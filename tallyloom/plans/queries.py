@@ -29,11 +29,13 @@ from tallyloom.operators import (
     text as X,
     topics as Z,
 )
+from tallyloom.plans import incremental as N
 from tallyloom.plans import inputs as I
 from tallyloom.plans import warehouse as W
 from tallyloom.sources import order_lines as L
 from tallyloom.sources import reviews as V
 from tallyloom.sources import tables as G
+from tallyloom.sources.publish import read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,6 +136,30 @@ def _(spark, folder):
     return counted[0].unionByName(counted[1])
 
 
+def _grown(spark, folder):
+    """The shared-dimension schema, grown by three batches of years, of which the first comes twice."""
+    lines = I.order_lines(spark, folder)
+    early, middle = F.col("year") < SEEN_BEFORE, F.col("year") == SEEN_BEFORE
+    path = I.folder_for(spark, folder, "grown")
+    N.load_batches(spark, path, {"early": lines.where(early)})
+    N.load_batches(spark, path, {"early": lines.where(early), "middle": lines.where(middle)})
+    N.load_batches(spark, path, {"late": lines.where(F.col("year") > SEEN_BEFORE)})
+    return read_published(spark, path)
+
+
+@query("load_batches")
+def _(spark, folder):
+    return G.table_sizes(_grown(spark, folder))
+
+
+@query("load_batches_sales")
+def _(spark, folder):
+    tables = _grown(spark, folder)
+    rows = tables["fact_sales"].join(tables["customer_dim"], "customer_id").join(tables["location_dim"], "location_id")
+    sums = [F.sum("sales").cast("double").alias("total_sales"), F.count("*").alias("sold_lines")]
+    return rows.groupBy("region", "segment").agg(*sums)
+
+
 def _round_trip(spark, folder, format):
     result = O.totals_by(I.order_lines(spark, folder), ["region"], ["sales", "profit"])
     result = result.select("region", *[F.col(c).cast("double").alias(c) for c in ("total_sales", "total_profit")])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import DISCOUNT_EDGES, DISCOUNT_LABELS, band, margin, parse_day_first, parse_number, strip
+from tallyloom.sources.quoted_text import read_quoted_text
 
 NUMBER_TYPES = {
     "sales": "decimal(15,4)",
@@ -26,7 +27,7 @@ def load_order_lines(spark: SparkSession, path: str, multiline: bool = False) ->
     """Read delimited text with a header, trim names and values, and parse numbers and day-first dates.
 
     Everything is read as text, so there is no inference pass.  `multiline` is needed only when quoted values hold
-    line breaks; it makes each file one split.
+    line breaks; files are split either way (see `quoted_text`).
     """
     raw = read_text_table(spark, path, multiline)
     columns = []
@@ -46,15 +47,11 @@ def load_order_lines(spark: SparkSession, path: str, multiline: bool = False) ->
 
 def read_text_table(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
     """Delimited text with a header, all columns as text, names made regular."""
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-    )
-    raw = reader.csv(path)
+    if multiline:
+        raw = read_quoted_text(spark, path)
+    else:
+        options = dict(header=True, inferSchema=False, escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+        raw = spark.read.options(**options).csv(path)
     return raw.toDF(*[normal_name(name) for name in raw.columns])
 
 

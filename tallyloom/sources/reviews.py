@@ -18,8 +18,7 @@ NUMERIC_COLUMNS = ("customer_rating", "response_time_hours")
 def load_reviews(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read reviews, trim all text, find the review and sentiment columns by name, drop rows without a review.
 
-    With line breaks inside quotes a file is one split, so a large source should come in many files; pass
-    `multiline=False` where there are none and files may be split.
+    Quoted values may hold line breaks; pass `multiline=False` where none do, which saves one pass over the files.
     """
     raw = find_columns(read_text_table(spark, path, multiline))
     columns = []
