@@ -208,12 +208,14 @@ def test_divergence_matches_plain_sums(spark, monkeypatch):
         lang, source = ("en", "de", None)[i % 3 % (2 + i % 2)], f"s{int(random.integers(0, 9))}" if i % 50 else None
         size = int(random.integers(0, 60))
         rows.append((" ".join(words[int(x) % 300] for x in random.zipf(1.3, size)), lang, source))
+    many = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}x" for i in range(2500))  # more than two slabs
+    rows += [(many, "en", "s0")] * 5 + [(many[: len(many) // 3], "en", "s2")]
     rows += [("hot " * 500, "en", "s1")] * 200 + [("", "en", "empty"), (None, "it", "a"), ("rare", "it", "b"), ("", "pt", "only")]
     frame = spark.createDataFrame(rows, "text string, lang string, source string")
     expected = plain_audit(rows, 5, 7)
     assert rows_of(divergence.audit(frame, least=5, top=7)) == expected
-    # Small blocks of sources, slabs of terms and tasks' tables give the same.
-    for name, value in (("BLOCK", 2), ("SLAB", 1), ("_HELD", 50)):
+    # Small blocks of sources and small tables in tasks give the same.
+    for name, value in (("BLOCK", 2), ("_HELD", 50)):
         monkeypatch.setattr(divergence, name, value)
     assert rows_of(divergence.audit(frame, least=5, top=7)) == expected
 
