@@ -11,12 +11,32 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.baskets import baskets as baskets_of
 from tallyloom.operators.customers import customer_rfm, order_level
-from tallyloom.plans.warehouse import SCHEMAS, Tables, build_schema
+from tallyloom.operators.rollups import Rollups, Wanted, build_rollups
+from tallyloom.plans.warehouse import SCHEMAS, Tables, build_schema, flat_sales
 from tallyloom.session import spread, work_dir
 from tallyloom.sources.order_lines import order_lines_from_tables
 from tallyloom.sources.reviews import reviews_from_tables
 from tallyloom.sources.tables import read_marts
 
+#: Stored roll-ups of sales: every level of products and of places, and category by day with quantiles of sales.
+ROLLUPS = {
+    "products": Wanted(("year", "category", "sub_category", "product_name")),
+    "kinds": Wanted(("category", "sub_category")),
+    "category_years": Wanted(("year", "category")),
+    "places": Wanted(("year", "segment", "country", "region", "market", "state")),
+    "states": Wanted(("country", "region", "market", "state")),
+    "region_segments": Wanted(("region", "segment")),
+    "countries": Wanted(("country",)),
+    "category_days": Wanted(("order_date", "category"), ("sales",)),
+    "categories": Wanted(("category",), ("sales",)),
+}
+ROLLUP_MEASURES = ("sales", "profit", "quantity")
+#: The dimension path of the snowflake schema on which a column lies; others are in the facts.
+PATH_OF = {
+    "order_date": "time", "segment": "customer", "category": "product", "sub_category": "product", "product_name": "product",
+    "country": "state", "region": "state", "market": "state", "state": "state",
+}
+
 SOURCE_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "documents", "labels")
 
 _READY: dict[tuple[str, str, tuple[str, ...]], object] = {}
@@ -105,3 +125,17 @@ def schema(spark: SparkSession, folder: str, name: str) -> Tables:
 
     path, names = _once(spark, folder, name, make)
     return read_marts(spark, path, names)
+
+
+def sales_rollups(spark: SparkSession, folder: str) -> Rollups:
+    """The stored roll-ups of the sales facts, built once; each reads just the dimensions its columns lie on."""
+
+    def make(path: str) -> Rollups:
+        tables = schema(spark, folder, "snowflake")
+
+        def view(columns: tuple[str, ...]) -> DataFrame:
+            return flat_sales(tables, sorted({PATH_OF[c] for c in columns if c in PATH_OF}))
+
+        return build_rollups(view, ROLLUPS, ROLLUP_MEASURES, path)
+
+    return _once(spark, folder, "sales_rollups", make)

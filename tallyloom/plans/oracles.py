@@ -8,6 +8,7 @@ from __future__ import annotations
 from tallyloom.operators.complaints import COMPLAINT_STOPS, COMPLAINT_THEMES, theme_column
 from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS
 from tallyloom.plans import queries as N
+from tallyloom.plans.inputs import ROLLUPS
 
 ORDER_LINES = """
 order_lines0 AS (
@@ -323,6 +324,25 @@ O["olap_roll_up"] = lines(
     "SELECT country, CAST(sum(sales) AS DOUBLE) AS total_sales FROM f GROUP BY ALL ORDER BY total_sales DESC, country LIMIT 10",
     FACTS,
 )
+O["rollup_groupings"] = lines(
+    "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS grouping_name, count(*) AS cells, CAST(sum(n) AS BIGINT) AS lines, CAST(sum(s) AS DOUBLE) AS total_sales
+FROM (SELECT count(*) AS n, sum(sales) AS s FROM f GROUP BY {", ".join(grouping.columns)})"""
+        for name, grouping in ROLLUPS.items()
+    ),
+    FACTS,
+)
+O["rollup_answer"] = lines(
+    f"""SELECT region, segment, count(*) AS lines, {d("sum(sales)")} AS total_sales, {r("CAST(sum(profit) AS DOUBLE) / count(profit)")} AS mean_profit,
+{d("min(sales)")} AS least_sale, {d("max(sales)")} AS largest_sale, CAST(sum(quantity) AS BIGINT) AS total_quantity
+FROM f WHERE year IN {listed(N.YEARS)} GROUP BY ALL""",
+    FACTS,
+)
+O["rollup_quantiles"] = lines(
+    f"""SELECT category, count(sales) AS lines, CAST(share AS DOUBLE) AS share, TRUE AS within
+FROM f, (SELECT unnest([{", ".join(map(str, N.SHARES))}]) AS share) GROUP BY ALL""",
+    FACTS,
+)
 O["olap_drill_across"] = lines(
     """SELECT state, CAST(sum(a.sales) AS DOUBLE) AS total_sales, CAST(sum(b.shipping_cost) AS DOUBLE) AS total_shipping
 FROM f a JOIN f b USING (state, market, region, country, product_id) GROUP BY state ORDER BY total_sales DESC, state LIMIT 10""",

@@ -6,6 +6,7 @@ doubles, computed doubles rounded) so that they compare across engines.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tallyloom.operators import (
     olap as O,
     prepare as P,
     regression as R,
+    rollups as A,
     rules as U,
     sentiment as S,
     sequence_model as E,
@@ -32,6 +34,7 @@ from tallyloom.operators import (
 from tallyloom.plans import incremental as N
 from tallyloom.plans import inputs as I
 from tallyloom.plans import warehouse as W
+from tallyloom.session import stored
 from tallyloom.sources import order_lines as L
 from tallyloom.sources import reviews as V
 from tallyloom.sources import tables as G
@@ -43,6 +46,7 @@ QUERIES: dict[str, Query] = {}
 # Values that occur in the data of the folders.
 SEGMENT, YEAR = "HOUSEHOLD", 1998
 CATEGORY, COUNTRY = "Technology", "NATION_7"
+SHARES = (0.05, 0.25, 0.5, 0.75, 0.95)
 YEARS, CATEGORIES, REGIONS = (1997, 1998, 1999), ("Furniture", "Technology"), ("ASIA", "EUROPE")
 SHIP_MODES = ("First Class", "Second Class", "Standard Class", "Same Day")
 LARGE_SALE = 100_000
@@ -329,12 +333,58 @@ def _(spark, folder):
 
 @query("olap_drill_down")
 def _(spark, folder):
-    return O.drill(_sales(spark, folder, "product"), ["category", "sub_category"], 1, "sales", 10, by_parent=True)
+    levels = ["category", "sub_category"]
+    return O.drill(A.as_flat(I.sales_rollups(spark, folder), levels), levels, 1, "sales", 10, by_parent=True)
 
 
 @query("olap_roll_up")
 def _(spark, folder):
-    return O.drill(_sales(spark, folder, "state"), ["country", "region", "market", "state"], 0, "sales", 10, by_parent=False)
+    levels = ["country", "region", "market", "state"]
+    return O.drill(A.as_flat(I.sales_rollups(spark, folder), levels[:1]), levels, 0, "sales", 10, by_parent=False)
+
+
+@query("rollup_groupings")
+def _(spark, folder):
+    groupings = I.sales_rollups(spark, folder).groupings
+    counts = [
+        g.table.agg(F.count("*").alias("cells"), F.sum(A.ROWS).alias("lines"), F.sum("sales_sum").alias("total_sales")).select(
+            F.lit(name).alias("grouping_name"), "*"
+        )
+        for name, g in groupings.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query("rollup_answer")
+def _(spark, folder):
+    parts = {
+        "lines": A.lines(), "total_sales": A.total("sales"), "mean_profit": A.mean("profit"),
+        "least_sale": A.least("sales"), "largest_sale": A.most("sales"), "total_quantity": A.total("quantity"),
+    }
+    return A.answer(I.sales_rollups(spark, folder), ["region", "segment"], parts, {"year": YEARS})
+
+
+@query("rollup_quantiles")
+def _(spark, folder):
+    """Sketched quantiles of sales, held against the ranks that their answers truly have."""
+    rollups = I.sales_rollups(spark, folder)
+    asked = {f"q{n}": A.quantile("sales", share) for n, share in enumerate(SHARES)}
+    found = A.answer(rollups, ["category"], {"lines": A.values("sales")} | asked, sketches=["sales"])
+    wide = stored(found, "sketched_quantiles")
+    held = _sales(spark, folder, "product").select("category", F.col("sales").cast("double").alias("sales"))
+    ranks = held.join(wide, "category").groupBy("category").agg(
+        *[F.count_if(F.col("sales") < F.col(f"q{n}")).alias(f"below{n}") for n in range(len(SHARES))],
+        *[F.count_if(F.col("sales") <= F.col(f"q{n}")).alias(f"upto{n}") for n in range(len(SHARES))],
+    )
+    slack = F.lit(2 * A.rank_error()) + 1 / F.col("lines")
+    told = [
+        F.struct(
+            F.lit(share).alias("share"),
+            ((F.col(f"below{n}") / F.col("lines") - slack <= share) & (F.col(f"upto{n}") / F.col("lines") + slack >= share)).alias("within"),
+        )
+        for n, share in enumerate(SHARES)
+    ]
+    return wide.join(ranks, "category").select("category", "lines", F.inline(F.array(*told)))
 
 
 def _drill_across(spark, folder, safe):
@@ -443,8 +493,8 @@ def _(spark, folder):
 
 @query("product_hierarchy")
 def _(spark, folder):
-    flat = _sales(spark, folder, "product")
-    return O.product_hierarchy(flat, ["category", "sub_category", "product_name"])
+    levels = ["category", "sub_category", "product_name"]
+    return O.product_hierarchy(A.as_flat(I.sales_rollups(spark, folder), levels), levels)
 
 
 @query("country_sales")
