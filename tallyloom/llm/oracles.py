@@ -65,13 +65,11 @@ _NAME = {"email": "'email:' || lower(v)", "ip": "'ip:' || v", "card": f"'card:'
 
 
 def _found(kind: str) -> str:
-    """All valid matches of a kind: document row, place, value, and the words on either side."""
+    """All valid matches of a kind: document row, place and name of the entity."""
     pattern = _KINDS[kind]
-    words = "list_filter(string_split_regex(lower(p[{}]), '[^\\p{{L}}]+'), lambda x: len(x) > 1)"
     return f"""
-  SELECT row_id, '{kind}' AS kind, first, first + len(v) AS last, {_NAME[kind]} AS entity,
-         list_concat(b[greatest(len(b) - 4, 1):], a[:5]) AS beside
-  FROM (SELECT row_id, m[i] AS v, {words.format("i")} AS b, {words.format("i + 1")} AS a,
+  SELECT row_id, '{kind}' AS kind, first, first + len(v) AS last, {_NAME[kind]} AS entity
+  FROM (SELECT row_id, m[i] AS v,
                list_sum(list_transform(p[:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: len(x))), 0) AS first
         FROM (SELECT row_id, m, p, unnest(range(1, len(m) + 1)) AS i
               FROM (SELECT row_id, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS p FROM d)))
@@ -81,9 +79,14 @@ def _found(kind: str) -> str:
 _PII = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_id FROM documents),
 base AS MATERIALIZED ({" UNION ALL ".join(_found(k) for k in _KINDS)}
+), said AS (
+  SELECT row_id, said_id, term FROM (
+    SELECT row_id, md5(text) AS said_id, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}]+'))) AS term
+    FROM d WHERE row_id IN (SELECT row_id FROM base)
+  ) WHERE len(term) > 1
 ), pairs AS (
-  SELECT entity, term, count(*) AS n_both FROM (SELECT DISTINCT row_id, entity, unnest(beside) AS term FROM base)
-  GROUP BY entity, term HAVING count(*) >= 4
+  SELECT entity, term, count(*) AS n_both FROM (SELECT DISTINCT row_id, entity FROM base) JOIN said USING (row_id)
+  GROUP BY entity, term HAVING count(DISTINCT said_id) >= 4
 ), entities AS (SELECT entity, count(DISTINCT row_id) AS n_entity FROM base GROUP BY entity
 ), terms AS (
   SELECT term, count(*) AS n_term

@@ -1,15 +1,15 @@
 """Personal data: base patterns, and terms that disclose what the patterns protect.
 
 Protected entities are the matches of four patterns (mail address, IP address, card, phone).  Over the whole corpus,
-each letter word (term) is weighed against each entity near which it stands:
+each letter word (term) is weighed against each entity that it shares a document with, wherever in it both stand:
 
     IC(e)      = -log2 p(e)                         information in learning the entity
     PMI(e, t)  = log2 p(e, t) / (p(e) p(t))         information that the term gives about it
-    disclosure = PMI / IC,  1 when the term occurs only beside the entity
+    disclosure = PMI / IC,  1 when the term occurs only in documents that hold the entity
 
-p counts documents; p(e, t) those where the term is among the `window` words on either side of the entity.  In
-documents that hold the entity, terms that disclose `generalise` or more of it become the class of word they are, and
-terms that disclose `remove` or more go.  A pair must be seen in `support` documents: one sighting is no estimate.
+p counts documents, p(e, t) those that hold both.  In documents that hold the entity, terms that disclose `generalise`
+or more of it become the class of word they are, and terms that disclose `remove` or more go.  A pair must be seen in
+`support` different texts: one sighting is no estimate, and a copy of a text to the letter is no other sighting.
 
 Everything is built-in functions: no Python runs on executors.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import text_key
+from tallyloom.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: The four base patterns.  Possessive and anchored forms of them that match the same and never back up,
@@ -47,7 +48,6 @@ _SPAN = "array<struct<kind:string,first:int,end:int,value:string>>"
 class Disclosure:
     """Settings of the disclosure estimate (see the module's text)."""
 
-    window: int = 5
     support: int = 4
     generalise: float = 0.8
     remove: float = 0.95
@@ -108,12 +108,6 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _entity(kind: str, value: Column) -> Column:
-    """One name for an entity however it is written."""
-    plain = {"email": F.lower(value), "ip": value}.get(kind, F.regexp_replace(value, "[^0-9]", ""))
-    return F.concat(F.lit(kind + ":"), plain)
-
-
 def with_matches(df: DataFrame) -> DataFrame:
     """Adds `_matches_<kind>` and `_pieces_<kind>` (the text between) for a column `_text`."""
     df = df.withColumns({f"_matches_{k}": _matches(F.col("_text"), k) for k in KINDS})
@@ -147,34 +141,8 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+", -1), lambda w: F.length(w) > 1)
 
 
-def _pairs(kind: str, window: int) -> Column:
-    """entity, NUL and term, for the words beside each valid match of a kind."""
-
-    def beside(sides):
-        def pairs(m, i):
-            left, right = F.element_at(sides, i + 1), F.element_at(sides, i + 2)
-            left = F.slice(left, F.greatest(F.size(left) - window + 1, F.lit(1)), F.lit(window))
-            terms = F.concat(left, F.slice(right, F.lit(1), F.lit(window)))
-            terms = F.when(_holds(kind, m), terms).otherwise(F.array().cast("array<string>"))
-            return _let(_entity(kind, m), lambda e: F.transform(terms, lambda t: F.concat(e, F.lit("\x00"), t)))
-
-        return F.flatten(F.transform(F.col(f"_matches_{kind}"), pairs))
-
-    return _let(F.transform(F.col(f"_pieces_{kind}"), _words), beside)
-
-
-def _near(df: DataFrame, window: int) -> DataFrame:
-    """(entity, term): one row for each pair of a document, from the words beside each valid match."""
-    pairs = [
-        F.when(F.size(f"_matches_{kind}") > 0, _pairs(kind, window)).otherwise(F.array().cast("array<string>")) for kind in KINDS
-    ]
-    pair = df.select(F.explode(F.array_distinct(F.concat(*pairs))).alias("_pair"))
-    return pair.select(F.split("_pair", "\x00").alias("_pair")).select(
-        F.col("_pair")[0].alias("entity"), F.col("_pair")[1].alias("term")
-    )
-
-
 def _entities_of(base: Column) -> Column:
+    """The distinct entities of spans, by one name each however they are written."""
     names = F.transform(
         base,
         lambda s: F.concat(
@@ -188,32 +156,52 @@ def _entities_of(base: Column) -> Column:
     return F.array_distinct(names)
 
 
-def disclosures(df: DataFrame, text: str = "text", setting: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, disclosure): every pair of the corpus that discloses `generalise` or more.
+def _held(texts: DataFrame) -> DataFrame:
+    """The different texts that hold an entity, stored: key, copies, entities and words of each, for a column `_text`."""
+    spans = base_spans(texts.where(F.col("_text").rlike("|".join(_HINTS.values()))))
+    entities, words = _entities_of(F.col("_base")), F.array_distinct(_words(F.col("_text")))
+    rows = spans.select(text_key(F.col("_text")).alias("_key"), entities.alias("entities"), words.alias("terms"))
+    rows = rows.where(F.size("entities") > 0).groupBy("_key", "entities", "terms").agg(F.count("*").alias("copies"))
+    return stored(rows, "pii-held")
+
 
-    Pairs come only from windows, so there are at most 2 x `window` for each match; all counts are pre-aggregated by
-    task before they meet, so an entity or a word of a third of all documents is no hot key.  Null texts count as
-    documents without words; an empty corpus gives no rows.
+def _disclosing(texts: DataFrame, held: DataFrame, setting: Disclosure) -> DataFrame:
+    """(entity, term, disclosure) of the texts in a column `_text`, of which `held` are those with an entity.
+
+    Only entities of `support` texts can disclose anything by the definition, so only they meet the words of their texts;
+    the pairs are summed by each task, by its different texts, before they meet.  An entity's count travels with it, and
+    the words' counts are stored, so that a word beside very many entities can be split where they are joined.
     """
-    docs = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-    marked = docs.where(F.col("_text").rlike("|".join(_HINTS.values())))
-    together = _near(with_matches(marked), setting.window).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    together = together.where(F.col("both") >= setting.support)
-    entities = base_spans(marked).select(F.explode(_entities_of(F.col("_base"))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count("*").alias("entity_documents"))
-    terms = docs.select(F.explode(F.array_distinct(_words(F.col("_text")))).alias("term"))
-    terms = terms.groupBy("term").agg(F.count("*").alias("term_documents"))
-    total = docs.agg(F.count("*").alias("documents"))
+    named = held.select("_key", "copies", F.explode("entities").alias("entity"))
+    known = named.groupBy("entity").agg(F.sum("copies").alias("entity_documents"), F.count("*").alias("texts"))
+    known = known.where(F.col("texts") >= setting.support)
+    listed = named.join(known, "entity").groupBy("_key").agg(F.collect_list(F.struct("entity", "entity_documents")).alias("known"))
+    met = held.select("_key", "copies", "terms").join(listed, "_key").select("copies", "terms", F.explode("known").alias("e"))
+    met = met.select("e.*", "copies", F.explode("terms").alias("term"))
+    together = met.groupBy("entity", "entity_documents", "term").agg(F.sum("copies").alias("both"), F.count("*").alias("texts"))
+    together = together.where(F.col("texts") >= setting.support)
+    terms = texts.select(F.explode(F.array_distinct(_words(F.col("_text")))).alias("term"))
+    terms = terms.groupBy("term").agg(F.count("*").alias("term_documents")).where(F.col("term_documents") >= setting.support)
+    total = texts.agg(F.count("*").alias("documents"))
     n = F.col("documents").cast("double")
     information = F.log2(n / F.col("entity_documents"))
     mutual = F.log2(n * F.col("both") / (F.col("entity_documents") * F.col("term_documents")))
-    pairs = together.join(entities, "entity").join(terms, "term").withColumn("documents", total.scalar())
+    pairs = together.join(stored(terms, "pii-terms"), "term").withColumn("documents", total.scalar())
     # An entity of every document holds no information that a term could give away.
     pairs = pairs.where(F.col("documents") > F.col("entity_documents"))
     pairs = pairs.withColumn("disclosure", F.round(mutual / information, 9))
     return pairs.where(F.col("disclosure") >= setting.generalise).select("entity", "term", "disclosure")
 
 
+def disclosures(df: DataFrame, text: str = "text", setting: Disclosure = Disclosure()) -> DataFrame:
+    """(entity, term, disclosure): every pair of the corpus that discloses `generalise` or more.
+
+    Null texts count as documents without words; repeated rows count each as a document; an empty corpus gives no rows.
+    """
+    texts = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    return _disclosing(texts, _held(texts), setting)
+
+
 def _term_pattern(terms: Column) -> Column:
     return F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(terms, "|"), F.lit(r")(?!\p{L})"))
 
@@ -228,10 +216,11 @@ def find(df: DataFrame, text: str = "text", setting: Disclosure = Disclosure())
     kept = [c for c in df.columns if c.lower() != "spans"]
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     found = base_spans(source)
-    pairs = disclosures(df, text, setting)
+    held = _held(source)
+    pairs = _disclosing(source.select("_text"), held, setting)
     holding = found.where(F.size("_base") > 0)
-    named = holding.select(text_key(F.col("_text")).alias("_key"), F.explode(_entities_of(F.col("_base"))).alias("entity"))
-    terms = named.distinct().join(pairs, "entity").groupBy("_key", "term").agg(F.max("disclosure").alias("disclosure"))
+    named = held.select("_key", F.explode("entities").alias("entity"))
+    terms = named.join(pairs, "entity").groupBy("_key", "term").agg(F.max("disclosure").alias("disclosure"))
     terms = terms.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("_terms"))
     holding = holding.withColumn("_key", text_key(F.col("_text"))).join(terms, "_key", "left")
     holding = _with_term_spans(holding, setting)

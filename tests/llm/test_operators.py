@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -132,6 +134,53 @@ def test_terms_that_disclose_an_entity(spark):
         assert [text[s["first"] : s["end"]] for s in terms] == ["Alucarda"] * 2
 
 
+def test_names_far_from_an_entity_and_behind_other_numbers(spark):
+    plain = [(i, f"these words of number {i} now stand at the door 12/25 and pay with an exp of the words") for i in range(400)]
+    far = "of these words at the door now stand number words and pay"
+    named = [(1000 + i, f"Alucarda {far} {far} of the words alu@corp.com now {i}") for i in range(10)]
+    carded = [(2000 + i, f"pay 4111111111111111 exp 12/25 Jane Zobrist now {i}") for i in range(10)]
+    frame = spark.createDataFrame(plain + named + carded, "doc_id long, text string")
+    found = {(r["entity"], r["term"]) for r in pii.disclosures(frame).collect()}
+    assert {e for e in found if e[0] == "email:alu@corp.com"} == {("email:alu@corp.com", t) for t in ("alucarda", "alu", "corp", "com")}
+    assert {e for e in found if e[0] != "email:alu@corp.com"} == {("card:4111111111111111", t) for t in ("jane", "zobrist")}
+    for row in pii.sanitise(frame).where("doc_id >= 1000").collect():
+        assert not re.search("alucarda|jane|zobrist", row["text"].lower())
+        assert far in row["text"] or row["text"].startswith("pay [CARD] exp 12/25 ")
+
+
+def test_disclosures_are_those_of_plain_counting(spark):
+    rng = random.Random(8)
+    texts = []
+    for i in range(300):
+        own = [f"user{j}@x.org" for j in range(6) if rng.random() < 0.05 * (j + 1)]
+        words = rng.choices([f"w{chr(97 + k)}" for k in range(26)], k=rng.randrange(1, 12))
+        words += [f"mark{chr(97 + int(e[4]))}" for e in own if rng.random() < 0.9]
+        rng.shuffle(words)
+        texts.append(" ".join([*own, *words]))
+    texts += ["only once copied name zed@x.org"] * 200 + [None, ""]  # copies to the letter are one sighting
+    held = [(set(re.findall(r"[a-z0-9]+@x\.org", t or "")), {w for w in re.split(r"[^a-z]+", t or "") if len(w) > 1}, t) for t in texts]
+    n, expected = len(texts), {}
+    for e in {e for entities, _, _ in held for e in entities}:
+        for t in {t for entities, words, _ in held if e in entities for t in words}:
+            both = [text for entities, words, text in held if e in entities and t in words]
+            ne, nt = sum(e in x for x, _, _ in held), sum(t in w for _, w, _ in held)
+            told = round(math.log2(n * len(both) / (ne * nt)) / math.log2(n / ne), 9)
+            if len(set(both)) >= 4 and told >= 0.8:
+                expected["email:" + e, t] = told
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(frame).collect()}
+    assert found == pytest.approx(expected) and any(t.startswith("mark") for _, t in found)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "a@b.c"), (1, "a@b.c"), (None, "a@b.c")]])
+def test_personal_data_in_odd_tables(spark, rows):
+    frame = spark.createDataFrame([(*row, "own") for row in rows], "doc_id long, text string, Spans string")
+    assert pii.find(frame).columns == ["doc_id", "text", "spans"]
+    safe = sorted(((r["doc_id"], r["text"]) for r in pii.sanitise(frame).collect()), key=repr)
+    assert safe == sorted(((i, t and "[EMAIL]") for i, t in rows), key=repr)
+    assert pii.digest(frame).count() == len(rows)
+
+
 def test_safe_texts_hold_no_entity(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate([*TRICKY[:4], None, "", "1.1.1.1"])], "doc_id long, text string")
     for row in pii.sanitise(frame).collect():
