@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.joins import HOT_ROWS, split_join
 from tallyloom.session import stored
 
 WIDE_ORDER = 500
@@ -43,7 +44,7 @@ def frequent_pairs(basket_rows: DataFrame, min_support: float, wide: int = WIDE_
     """
     total, wide_orders = _profile(basket_rows, wide)
     least = min_count(total, min_support)
-    supports = item_supports(basket_rows)
+    supports = stored(item_supports(basket_rows), "item_supports")
     pairs = _count_pairs(basket_rows, supports, least, wide, wide_orders)
     of_a = supports.select(F.col("item").alias("item_a"), F.col("item_orders").alias("_a"))
     of_b = supports.select(F.col("item").alias("item_b"), F.col("item_orders").alias("_b"))
@@ -70,11 +71,12 @@ def frequent_triples(basket_rows: DataFrame, min_support: float, wide: int = WID
     """
     total, wide_orders = _profile(basket_rows, wide)
     least = min_count(total, min_support)
-    counts = _count_pairs(basket_rows, item_supports(basket_rows), least, wide, wide_orders)
+    supports = stored(item_supports(basket_rows), "item_supports")
+    counts = _count_pairs(basket_rows, supports, least, wide, wide_orders)
     pairs = stored(counts.select("item_a", "item_b"), "frequent_pairs")
     narrow, wide_rows = _split(basket_rows, wide)
     members = pairs.select(F.explode(F.array("item_a", "item_b")).alias("item")).distinct()
-    in_narrow = _pairs_in_orders(narrow.join(members, "item", "left_semi")).join(pairs, ["item_a", "item_b"])
+    in_narrow = _pairs_in_orders(_only(narrow, members, supports)).join(pairs, ["item_a", "item_b"])
     triples = _grow(in_narrow, pairs)
     if wide_orders:
         in_wide = _occurrences(wide_rows, pairs)
@@ -98,16 +100,23 @@ def _profile(basket_rows: DataFrame, wide: int) -> tuple[int, int]:
 
 
 def _count_pairs(basket_rows: DataFrame, supports: DataFrame, least: int, wide: int, wide_orders: int) -> DataFrame:
-    kept = basket_rows.join(supports.where(F.col("item_orders") >= least).select("item"), "item")
+    kept = _only(basket_rows, supports.where(F.col("item_orders") >= least).select("item"), supports)
     narrow, wide_rows = _split(kept, wide)
     pairs = _pair_up(narrow)
     if wide_orders:
         repeated = wide_rows.groupBy("item").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
-        from_wide = _pair_up(wide_rows.join(repeated.select("item"), "item"), salts=WIDE_SALTS)
+        repeated = stored(repeated, "wide_items")
+        counted = repeated.withColumnRenamed("_w", "_n")
+        from_wide = _pair_up(split_join(wide_rows, repeated.select("item"), ["item"], "left_semi", counted), salts=WIDE_SALTS)
         pairs = _add_wide(pairs, from_wide, wide_rows, wide_orders, least)
     return pairs.where(F.col("orders_together") >= least)
 
 
+def _only(rows: DataFrame, items: DataFrame, supports: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of some items.  An item of very many orders is split."""
+    return split_join(rows, items, ["item"], "left_semi", supports.withColumnRenamed("item_orders", "_n"), hot_rows)
+
+
 def _split(rows: DataFrame, wide: int) -> tuple[DataFrame, DataFrame]:
     is_wide = F.col("basket_size") > wide
     return rows.where(~is_wide).select("order_id", "item"), rows.where(is_wide).select("order_id", "item")
