@@ -81,10 +81,11 @@ def deduplicate(df: DataFrame, text: str = "text", id_column: str = "doc_id", le
     schema = "runs array<struct<hash:binary,first:int,last:int>>"
     told = map_columns(texts.where(F.length("_text") > 0), schema, compute, ["_text"], ["id", "mark"])
     told = stored(told.select("id", "mark", F.explode("runs").alias("run")).select("run.*", "id", "mark"), "substring-runs")
-    known = told.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Aggregates are stored before they are joined: with plain shuffles on both sides, a very common run can be split.
+    known = stored(told.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "substring-known")
     spot = F.struct(F.col("id").isNull().alias("nameless"), "id", "mark", "first", "last")
     again = stored(told.join(known, "hash").select("hash", spot.alias("spot")), "substring-repeated")
-    firsts = again.groupBy("hash").agg(F.min("spot").alias("earliest"))
+    firsts = stored(again.groupBy("hash").agg(F.min("spot").alias("earliest")), "substring-firsts")
     later = again.join(firsts, "hash").where("spot != earliest").select("spot.*").distinct()
     gone = later.groupBy("id", "mark").agg(F.collect_set(F.array("first", "last")).alias("_gone"))  # of one document
     rows = rows.join(gone, rows[key].eqNullSafe(gone["id"]) & (rows["_mark"] == gone["mark"]), "left").select(
