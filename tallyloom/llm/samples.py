@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import map_columns
 from tallyloom.llm.words import Grams
+from tallyloom.session import stored
 
 _PARTS = 1 << 20
 
@@ -27,17 +28,19 @@ def sampled_by_label(rows: DataFrame, most: int, least: int) -> DataFrame:
     """Rows of (id, text, label), one per id: of each label the larger of `least` and its share of `most`, about, chosen by
     hash of the id; all of a label that has no more.
 
-    Shares are set by counts of distinct ids; the driver sees one count per label.  Labels of one id beyond the least
-    don't count.
+    Together about 2 x `most` at the outside: the least shrinks where there are many labels, to about one row each.  Shares are
+    set by counts of distinct ids, one row per label; labels of one id beyond the least don't count.
     """
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.approx_count_distinct("id", 0.02).alias("n")).collect()}
-    total = max(1, sum(counts.values()))
+    draw = F.pmod(F.xxhash64("id", F.lit(20)), F.lit(_PARTS))
+    counts = rows.groupBy("label").agg(F.approx_count_distinct("id", 0.02).alias("_n"), F.min(draw).alias("_first"))
+    counts = stored(counts, "label-counts")
+    seen = counts.agg(F.sum("_n").alias("total"), F.count("*").alias("labels")).first()
     # Twice the least where there is more: a draw by hash varies, and must not leave a label with few rows.
-    share = {x: min(_PARTS, -(-_PARTS * max(most * n // total, 2 * least) // max(1, n))) for x, n in counts.items()}
-    if not share:
-        return rows.limit(0)
-    wanted = F.create_map(*[F.lit(v) for pair in sorted(share.items()) for v in pair])
-    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(20)), F.lit(_PARTS)) < F.element_at(wanted, F.col("label")))
+    least = min(2 * least, max(1, most // max(1, seen["labels"])))
+    wanted = F.greatest(F.floor(F.col("_n") * most / max(1, seen["total"] or 0)), F.lit(least))
+    share = F.least(F.lit(_PARTS), F.ceil(wanted * _PARTS / F.greatest("_n", F.lit(1))))
+    share = F.greatest(share, F.col("_first") + 1)  # no label is left without a row
+    chosen = rows.join(counts.select("label", share.alias("_share")), "label").where(draw < F.col("_share"))
     first = chosen.groupBy("id").agg(F.min(F.struct("label", "text")).alias("_row"))
     return first.select("id", F.col("_row")["text"].alias("text"), F.col("_row")["label"].alias("label"))
 

@@ -300,3 +300,31 @@ def test_pipeline_of_no_rows_and_of_nothing_to_learn(spark):
     kept = corpus_pipeline.identified(spark, spark.createDataFrame(rows, schema), "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4]
     assert language.UNKNOWN == "und"
+
+
+def test_machines_trained_by_tasks_are_those_of_plain_descent(spark):
+    words = {"en": "there with the house", "de": "der garten und das haus", "fr": "la maison est belle", "fi": "hyvää yötä"}
+    rows = [(i, f"{words[x]} {i % 7}", x) for i, x in enumerate(sorted(words) * 12)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert model.languages == ("de", "en", "fi", "fr") and model.pairs == (("de", "en"),)
+    x = np.zeros((len(rows), language.GRAMS.size), np.float32)
+    for row, (_, text, _) in zip(x, rows):
+        buckets, counts = language.GRAMS.counts(text)
+        row[buckets] = language.SCALE * counts / counts.sum()
+    lang = np.array([r[2] for r in rows])
+    german, english = x[lang == "de"], x[lang == "en"]
+    pair, bias = language.svm(np.vstack([german, english]), np.repeat(np.array([1, -1], np.float32), [len(german), len(english)]))
+    assert np.allclose(model.weights[:, -1], pair, atol=1e-4) and abs(model.bias[-1] - bias) < 1e-4
+    for place, name in enumerate(model.families):
+        inside = np.array([language.family(v) == name for v in lang])
+        assert ((x @ model.weights[:, place] + model.bias[place] > 0) == inside).all()
+
+
+def test_a_sample_of_many_languages_is_bounded(spark):
+    from tallyloom.llm.samples import sampled_by_label
+
+    rows = [(i, "text", f"l{i % 100}") for i in range(20_000)] + [(30_000, "text", "rare")]
+    taken = sampled_by_label(spark.createDataFrame(rows, "id long, text string, label string"), 500, 40)
+    count = {r["label"]: r["count"] for r in taken.groupBy("label").count().collect()}
+    assert sum(count.values()) < 1_100 and count["rare"] == 1 and len(count) == 101
+    assert sampled_by_label(spark.createDataFrame(rows, "id long, text string, label string").limit(0), 500, 40).count() == 0
