@@ -2,8 +2,9 @@
 
 Each shard's tree halves its rows at the median of the widest side of their box, down to small leaves; every node has
 the tight box of its rows.  A query goes best-first: the node whose box allows the largest inner product comes next,
-and the search ends when no box can beat the k-th score so far.  Each query is first searched in one shard, and the
-k-th score found there is the least score with which it enters all others.
+and the search ends when no box can beat the k-th score so far.  Shards hold near rows where they can.  Each query is
+first searched in one shard, blocks of queries in different ones; the k-th score found there is the least score with
+which it enters others, and it is sent only to those shards whose box allows that score.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.frames import find_package, map_columns, small_batches
-from tallyloom.llm.shards import dealt, finite, merged, searched, unpacked
+from tallyloom.llm.shards import dealt, finite, merged, placed, searched_in, unpacked
 from tallyloom.session import stored
 
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 4_096, 1_024, 128
+#: Shards whose boxes a block of queries meets at a time.
+BOXES = 1_024
 
 
 def build(vectors: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, ...]:
@@ -131,7 +134,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = SHAR
     candidates count each.  Empty tables give no rows.
     """
     ready = lambda x: x.select("id", "vector").where(F.col("id").isNotNull() & finite(F.col("vector")))
-    shards, count = dealt(ready(df), shard_rows, "kd-shards")
+    shards, count = placed(ready(df), shard_rows, "kd-shards")
     indexes = stored(_indexed(shards, leaf_rows), "kd-trees")
     asked = ready(queries).groupBy("id").agg(F.min("vector").alias("vector"))
     blocks, _ = dealt(asked, block_rows, "kd-queries")
@@ -140,12 +143,47 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = SHAR
     def search(*values):
         return search_tree(*values, k)
 
-    near = stored(searched(indexes, (0, 1), blocks, search, index), "kd-first")  # the first shard gives the least scores
+    home = F.pmod("block", F.lit(count)).cast("int")
+    first = blocks.withColumn("shard", home).withColumn("least", F.lit(None).cast("binary"))
+    near = stored(searched_in(indexes, first, search, index), "kd-first")  # the home shard gives the least scores
     kth = near.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k)
-    rest = searched(indexes, (1, count), blocks, search, index, _bounds(blocks, kth))
+    asking = blocks.withColumn("home", home).join(_bounds(blocks, kth), ["block", "width"])
+    rest = searched_in(indexes, _worth(asking, indexes, count), search, index)
     return merged(near.unionByName(rest), k)
 
 
+def _worth(asking: DataFrame, indexes: DataFrame, count: int) -> DataFrame:
+    """(shard, n, width, ids, vectors, least): for each block of queries and each shard but its home, those queries whose
+    least score the shard's box allows.  Boxes come in rows of BOXES shards, so a block is copied for many shards at once."""
+    size = 8 * F.col("width")
+    box = F.struct(F.col("block").alias("shard"), *[F.substring(x, F.lit(1), size).alias(x) for x in ("low", "high")])
+    group = F.floor(F.col("block") / BOXES).cast("int")
+    boxes = indexes.groupBy(group.alias("group"), "width").agg(F.sort_array(F.collect_list(box)).alias("boxes"))
+    groups = F.sequence(F.lit(0), F.lit((count - 1) // BOXES))
+    met = asking.withColumn("group", F.explode(groups)).join(boxes, ["group", "width"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                home, n, width, ids, vectors, least, boxes = (batch.column(i)[row].as_py() for i in range(7))
+                ids, vectors = unpacked(n, width, ids, vectors)
+                least = np.frombuffer(least, np.float64)
+                low, high = (np.frombuffer(b"".join(x[y] for x in boxes), np.float64).reshape(len(boxes), width) for y in ("low", "high"))
+                up, down = np.maximum(vectors, 0), np.minimum(vectors, 0)
+                slack = 1e-12 * (up @ np.abs(high).T - down @ np.abs(low).T)  # sums in another order may round otherwise
+                worth = up @ high.T + down @ low.T + slack >= least[:, None]
+                for at, shard in enumerate(x["shard"] for x in boxes):
+                    some = np.flatnonzero(worth[:, at])
+                    if shard == home or not len(some):
+                        continue
+                    numbers = [pa.array([x], pa.int32()) for x in (shard, len(some), width)]
+                    data = [pa.array([x[some].tobytes()], pa.binary()) for x in (ids, vectors, least)]
+                    yield pa.RecordBatch.from_arrays(numbers + data, ["shard", "n", "width", "ids", "vectors", "least"])
+
+    inputs = met.select("home", "n", "width", "ids", "vectors", "least", "boxes")
+    return inputs.mapInArrow(run, "shard int, n int, width int, ids binary, vectors binary, least binary")
+
+
 def _bounds(blocks: DataFrame, kth: DataFrame) -> DataFrame:
     """(block, width, least): each block's least scores as one array; minus infinity for a query without k finds yet."""
 

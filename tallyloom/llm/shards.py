@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.frames import find_package, small_batches
 from tallyloom.session import stored
 
+_PARTS = 1 << 20
 _SCHEMA = "block int, n int, width int, ids binary, vectors binary"
 
 
@@ -32,6 +33,93 @@ def dealt(df: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
     """
     df = stored(df, f"{name}-rows")
     parts = max(1, -(-df.count() // rows))
+    # Dealt round, not by a key: equal vectors or ids are no hot block.
+    return _packed(df.select("id", F.col("vector").cast("array<double>")).repartition(parts), name), parts
+
+
+def placed(df: DataFrame, rows: int, name: str, most: int = 4_096) -> tuple[DataFrame, int]:
+    """As `dealt`, but near vectors share a block where they can.
+
+    Median splits of a sample of at most about `most` distinct vectors make cells; the rows of a cell are dealt round to
+    as many blocks as its count asks for, so that equal vectors, however many, fill several.
+    """
+    df = stored(df.select("id", F.col("vector").cast("array<double>").alias("vector")), f"{name}-rows")
+    widest = F.max(F.size("vector")).alias("widest")
+    seen = df.agg(F.count("*").alias("rows"), F.approx_count_distinct("vector").alias("distinct"), widest).first()
+    most = min(most, max(64, (1 << 20) // max(1, seen["widest"] or 0)))  # a million components at the outside
+    share = min(_PARTS, int(_PARTS * most / max(1, seen["distinct"])))
+    drawn = df.where(F.pmod(F.xxhash64("vector", F.lit(8)), F.lit(_PARTS)) < share).select("vector").distinct().collect()
+    trees, told = {}, 1  # cell 0: widths that the sample doesn't hold
+    for width in sorted({len(r["vector"]) for r in drawn} - {0}):
+        own = np.array(sorted(r["vector"] for r in drawn if len(r["vector"]) == width), np.float64).reshape(-1, width)
+        trees[width] = (told, *splits(own, max(16, -(-len(own) * rows // max(1, seen["rows"])))))
+        told += len(trees[width][1])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 7_919 * TaskContext.get().partitionId()
+        for batch in batches:
+            vectors = [v.values.to_numpy(zero_copy_only=False) for v in batch.column(1)]
+            widths, cell = np.array([len(v) for v in vectors]), np.zeros(batch.num_rows, np.int32)
+            for width in np.unique(widths):
+                if width in trees:
+                    base, *tree = trees[width]
+                    some = np.flatnonzero(widths == width)
+                    cell[some] = base + leaf_of(np.array([vectors[i] for i in some]).reshape(len(some), width), *tree)
+            turns = pa.array(np.arange(turn, turn + batch.num_rows))
+            turn += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), turns], ["id", "vector", "cell", "turn"])
+
+    find_package(df)
+    small_batches(df)
+    # Written once, so that a row's turn stays what it is if a later task runs again.
+    told_rows = stored(df.mapInArrow(place, "id long, vector array<double>, cell int, turn long"), f"{name}-cells")
+    counts = sorted((r["cell"], r["count"]) for r in told_rows.groupBy("cell").count().collect())
+    first, spread_over, parts = {}, {}, 0
+    for cell, n in counts:
+        first[cell], spread_over[cell] = parts, -(-n // rows)
+        parts += spread_over[cell]
+    if not parts:
+        return _packed(told_rows.select("id", "vector"), name), 1
+    value = lambda of: F.element_at(F.create_map(*[F.lit(x) for pair in of.items() for x in pair]), F.col("cell"))
+    block = (value(first) + F.pmod("turn", value(spread_over))).cast("int")
+    return _packed(told_rows.repartitionById(parts, block).select("id", "vector"), name), parts
+
+
+def splits(sample: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A tree of median splits: each node's axis, value and left child (the right follows; -1: a leaf)."""
+    axis, value, left, own = [0], [0.0], [-1], [sample]
+    at = 0
+    while at < len(left):
+        rows = own[at]
+        sides = rows.max(0) - rows.min(0) if len(rows) > leaf_rows else np.zeros(0)
+        if sides.size and sides.max() > 0:
+            axis[at] = int(sides.argmax())
+            column = rows[:, axis[at]]
+            value[at] = float(np.median(column))
+            if value[at] == column.min():  # more than half are equal: the split is above them
+                value[at] = float(column[column > value[at]].min())
+            left[at] = len(left)
+            for part in (rows[column < value[at]], rows[column >= value[at]]):
+                own.append(part)
+                axis.append(0)
+                value.append(0.0)
+                left.append(-1)
+        own[at] = None
+        at += 1
+    return np.array(axis), np.array(value), np.array(left)
+
+
+def leaf_of(vectors: np.ndarray, axis: np.ndarray, value: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The leaf that each vector falls in."""
+    node = np.zeros(len(vectors), np.int64)
+    while len(some := np.flatnonzero(left[node] >= 0)):
+        here = node[some]
+        node[some] = left[here] + (vectors[some, axis[here]] >= value[here])
+    return node
+
+
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    """Each partition of (id, vector) as one block, numbered as the partition is."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[int, list[int]] = {}
@@ -50,9 +138,7 @@ def dealt(df: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
 
     find_package(df)
     small_batches(df)
-    # Dealt round, not by a key: equal vectors or ids are no hot block.
-    packed = df.select("id", F.col("vector").cast("array<double>")).repartition(parts).mapInArrow(pack, _SCHEMA)
-    return stored(packed, name), parts
+    return stored(df.mapInArrow(pack, _SCHEMA), name)
 
 
 def unpacked(n: int, width: int, ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +159,11 @@ def searched(
     shard = F.explode(F.sequence(F.lit(low), F.lit(high - 1)) if high > low else F.array().cast("array<int>"))
     sent = blocks.withColumn("shard", shard)
     sent = sent.withColumn("least", F.lit(None).cast("binary")) if bounds is None else sent.join(bounds, ["block", "width"], "left")
+    return searched_in(indexes, sent, search, index_columns)
+
+
+def searched_in(indexes: DataFrame, sent: DataFrame, search: Callable[..., tuple], index_columns: Sequence[str]) -> DataFrame:
+    """As `searched`, for queries (shard, n, width, ids, vectors, least) that are sent to one shard each."""
     own = indexes.select(F.col("block").alias("shard"), "width", *index_columns)
     pairs = sent.join(own.hint("shuffle_hash"), ["shard", "width"])
     k = len(index_columns)

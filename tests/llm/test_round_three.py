@@ -11,7 +11,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tallyloom.llm import divergence, hnsw, language, quality_rules, spelling, toxicity
+from tallyloom.llm import divergence, hnsw, kdtree, language, quality_rules, shards, spelling, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, score double, kept string, word string, n int"
 LONG = " ".join(f"Wörd{i % 977}x{i % 31}" for i in range(30_000))
@@ -328,3 +328,30 @@ def test_a_sample_of_many_languages_is_bounded(spark):
     count = {r["label"]: r["count"] for r in taken.groupBy("label").count().collect()}
     assert sum(count.values()) < 1_100 and count["rare"] == 1 and len(count) == 101
     assert sampled_by_label(spark.createDataFrame(rows, "id long, text string, label string").limit(0), 500, 40).count() == 0
+
+
+def test_near_vectors_share_shards_and_queries_skip_the_others(spark, monkeypatch):
+    centres = np.repeat(np.eye(4) * 100, 300, 0)
+    x = np.round((centres + np.random.default_rng(5).normal(size=centres.shape)) * 16)
+    x[:300] = x[0]  # a quarter of all rows are equal: they fill several shards
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    packed, count = shards.placed(frame, 100, "test-shards")
+    blocks = packed.collect()
+    assert sorted(i for r in blocks for i in np.frombuffer(r["ids"], np.int64)) == list(range(1200))
+    assert count == len(blocks) and max(r["n"] for r in blocks) <= 110 and {r["block"] for r in blocks} == set(range(count))
+    pure = sum(len({i // 300 for i in np.frombuffer(r["ids"], np.int64)}) == 1 for r in blocks)
+    assert pure > 0.5 * count  # dealt round, none would be
+
+    sent = []
+    whole = kdtree._worth
+    monkeypatch.setattr(kdtree, "_worth", lambda *a: sent.append(whole(*a)) or sent[-1])
+    monkeypatch.setattr(kdtree, "BOXES", 3)
+    asked = frame.where("id % 20 = 0")
+    found = kdtree.top_k(frame, asked, 5, shard_rows=100, block_rows=8).collect()
+    scores = x @ x.T
+    for query in range(0, 1200, 20):
+        order = sorted((-scores[query, i], i) for i in range(1200) if i != query)[:5]
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == query)
+        assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
+    shipped = sum(r["n"] for r in sent[0].collect())
+    assert shipped < 0.6 * 60 * (count - 1)  # the others were ruled out by a box before anything was sent
