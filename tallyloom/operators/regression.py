@@ -33,11 +33,14 @@ RIDGE_ALPHA = 10.0
 
 @dataclass(frozen=True)
 class RidgeFit:
-    """A fitted ridge: intercept and coefficients by feature name, and the test rows with their prediction."""
+    """A fitted ridge: intercept and coefficients by feature name, the test and the training rows with their prediction, and
+    the penalty."""
 
     intercept: float
     coefficients: dict[str, float]
     predictions: DataFrame
+    fitted: DataFrame
+    alpha: float
 
     def coefficient_table(self) -> DataFrame:
         """Coefficients by size; a few dozen model values."""
@@ -100,13 +103,41 @@ def ridge(
         regParam=alpha * shrink * (moments["dev"] or 1.0) / moments["n"],
     ).fit(scaler.transform(fit_rows))
     kept = [F.col(f"`{c}`") for c in test.columns if c != encoded]
+
+    def predicted(part: DataFrame) -> DataFrame:
+        return model.transform(scaler.transform(shaped(part))).select(*kept, "predicted")
+
     return RidgeFit(
         intercept=float(model.intercept),
         coefficients={name: float(w) * math.sqrt(shrink) for name, w in zip(names, model.coefficients)},
-        predictions=model.transform(scaler.transform(shaped(test))).select(*kept, "predicted"),
+        predictions=predicted(test),
+        fitted=predicted(train),
+        alpha=alpha,
     )
 
 
+def normal_equations(fit: RidgeFit, label: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
+    """(feature, cosine): what the fit makes the cosine of each feature and the label in the training rows.
+
+    A ridge is right exactly where each feature's product with the predictions, plus penalty * deviation * coefficient,
+    is its product with the label; so the cosines are those of the data.  A level of a categorical column is the feature
+    `column_level`, and the intercept is the feature that is always 1.
+    """
+    values = [(F.lit(name), F.col(f"`{name}`").cast("double")) for name in numeric]
+    values += [(F.concat(F.lit(f"{c}_"), F.col(f"`{c}`")), F.lit(1.0)) for c in categorical] + [(F.lit("intercept"), F.lit(1.0))]
+    long = F.inline(F.array(*[F.struct(name.alias("feature"), x.alias("x")) for name, x in values]))
+    y = F.col(label).cast("double")
+    told = fit.fitted.agg(F.count("*").alias("n"), F.sum(y * y).alias("square")).first()
+    sums = fit.fitted.select("predicted", long).groupBy("feature")
+    sums = sums.agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.sum(F.col("predicted") * F.col("x")).alias("p"))
+    weights = [*fit.coefficients.items(), ("intercept", 0.0)]
+    weights = fit.fitted.sparkSession.createDataFrame(weights, "feature string, w double")
+    mean = F.col("s") / told["n"]
+    penalty = fit.alpha * F.col("w") * F.sqrt(F.greatest(F.col("q") / told["n"] - mean * mean, F.lit(0.0)))
+    cosine = F.try_divide(F.col("p") + penalty, F.sqrt(F.col("q") * (told["square"] or 0.0)))
+    return sums.join(weights, "feature").select("feature", cosine.alias("cosine"))
+
+
 def profit_regression(
     orders: DataFrame,
     numeric: Sequence[str] = NUMERIC_FEATURES,

@@ -6,6 +6,7 @@ Nothing here is used by the operators.
 from __future__ import annotations
 
 from tallyloom.operators.complaints import COMPLAINT_STOPS, COMPLAINT_THEMES, theme_column
+from tallyloom.operators.regression import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from tallyloom.operators.text import COMPETITOR_SEEDS, PAIN_POINT_SEEDS
 from tallyloom.plans import queries as N
 from tallyloom.plans.inputs import ROLLUPS
@@ -531,6 +532,21 @@ count(*) FILTER (category = 'Technology') AS "Technology",
 {r("CASE WHEN sum(sales) > 0 THEN CAST(sum(profit) AS DOUBLE) / CAST(sum(sales) AS DOUBLE) ELSE 0 END")} AS profit_margin,
 CASE WHEN sum(profit) > 0 THEN 1 ELSE 0 END AS profitable FROM lines GROUP BY order_id"""
 )
+_TRAIN = f"""o AS (SELECT order_id, min(order_date) AS order_date, max(ship_days) AS ship_days, sum(sales) AS sales,
+sum(quantity) AS quantity, avg(CAST(discount AS DOUBLE)) AS discount, sum(profit) AS profit, sum(shipping_cost) AS shipping_cost,
+{_FIRSTS}, count(DISTINCT product_id) AS unique_products, count(DISTINCT sub_category) AS unique_sub_categories,
+count(*) FILTER (category = 'Furniture') AS "Furniture", count(*) FILTER (category = 'Office Supplies') AS "Office Supplies",
+count(*) FILTER (category = 'Technology') AS "Technology" FROM lines GROUP BY order_id),
+t AS (SELECT *, CAST(profit AS DOUBLE) AS y FROM o QUALIFY row_number() OVER (ORDER BY order_date, md5(order_id)) <= floor(count(*) OVER () * 0.8))"""
+_EQUATIONS = " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS x, y FROM t" for c in NUMERIC_FEATURES]
+    + [f"SELECT '{c}_' || {c}, 1.0, y FROM t WHERE {c} > (SELECT min({c}) FROM o)" for c in CATEGORICAL_FEATURES]
+    + ["SELECT 'intercept', 1.0, y FROM t"]
+)
+O["profit_regression_equations"] = lines(
+    f"SELECT feature, {r('sum(x * y) / sqrt(sum(x * x) * (SELECT sum(y * y) FROM t))')} AS cosine FROM ({_EQUATIONS}) GROUP BY feature",
+    _TRAIN,
+)
 O["first_per_key"] = lines(
     f"""SELECT customer_name, product_name, ship_mode, CAST(sales AS DOUBLE) AS sales FROM lines
 QUALIFY row_number() OVER (PARTITION BY customer_name ORDER BY {FIRST}) = 1"""

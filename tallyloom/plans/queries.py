@@ -781,6 +781,12 @@ def _(spark, folder):
     return R.regression_metrics(_profit_fit(spark, folder).predictions, "profit", "predicted")
 
 
+@query("profit_regression_equations")
+def _(spark, folder):
+    """The normal equations that the fitted model solves, feature by feature."""
+    return R.normal_equations(_profit_fit(spark, folder), "profit", R.NUMERIC_FEATURES, R.CATEGORICAL_FEATURES)
+
+
 @query("regression_metrics", digits=4)
 def _(spark, folder):
     fitted = P.smooth_by_regression(I.order_lines(spark, folder), "profit", "sales")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 
@@ -32,6 +34,12 @@ def test_ridge_matches_the_closed_form(spark):
     rows = fit.predictions.collect()
     expected = [w[0] + ((np.array([r["a"], r["b"], r["c"]]) - mean) / dev) @ w[1:] for r in rows]
     assert [r["predicted"] for r in rows] == pytest.approx(expected, abs=1e-6)
+    cosines = {c: kept[:, i] @ kept[:, 3] / np.sqrt((kept[:, i] ** 2).sum() * (kept[:, 3] ** 2).sum()) for i, c in enumerate("abc")}
+    cosines["intercept"] = cosines["c"]
+    solved = {r["feature"]: r["cosine"] for r in R.normal_equations(fit, "y", ["a", "b", "c"]).collect()}
+    assert solved == pytest.approx(cosines, abs=1e-9)
+    unlike = R.normal_equations(replace(fit, alpha=0.0), "y", ["a", "b", "c"]).collect()
+    assert abs({r["feature"]: r["cosine"] for r in unlike}["b"] - cosines["b"]) > 1e-3  # another penalty is noticed
 
 
 def test_regression_metrics(spark):
