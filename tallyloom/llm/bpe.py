@@ -2,7 +2,7 @@
 
 The vocabulary file is a parameter and is read where the tasks run; nothing is trained.  Texts are cut into the
 vocabulary's pieces by its published pattern; each distinct piece goes through the tokenizers library once per task
-process (a bounded cache), and its bytes map to characters through the byte table.
+process (a cache of bounded pieces and characters), and its bytes map to characters through the byte table.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 
 from tallyloom.llm.frames import map_columns
 
-CACHE_PIECES = 200_000
+#: Pieces, and characters of pieces and ids, that a task process keeps; beyond either it starts anew.
+CACHE_PIECES, CACHE_CHARACTERS = 200_000, 16 << 20
 
 
 def byte_characters() -> dict[int, str]:
@@ -40,15 +41,18 @@ class Codec:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = {i: bytes(back[c] for c in token) for token, i in vocabulary.items() if all(c in back for c in token)}
         self.known: dict[str, str] = {}
+        self.kept = 0
 
     def learn(self, pieces: set[str]) -> None:
-        """Put new pieces' ids into the cache."""
+        """Put new pieces' ids into the cache, which the pieces of one text may exceed."""
         new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > CACHE_PIECES:
+        if len(self.known) + len(new) > CACHE_PIECES or self.kept > CACHE_CHARACTERS:
             self.known.clear()
+            self.kept = 0
             new = list(pieces)
         for piece, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = " ".join(map(str, coded.ids))
+            ids = self.known[piece] = " ".join(map(str, coded.ids))
+            self.kept += len(piece) + len(ids)
 
     def ids(self, text: str) -> str:
         """Ids as decimal numbers joined by spaces."""
