@@ -8,6 +8,7 @@ globally by that time and the mix ends where their words reach the total budget.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,8 +18,12 @@ from tallyloom.session import stored
 
 WEIGHTS = (5, 2, 1)
 PASSES = 3
-#: Copies in one slice of the global order; only the slice where the budget ends is sorted by one task.
+#: Rows, about, that a task orders at a time: a slice of a source, and the part of the global order where the budget ends.
 SLICE_ROWS = 100_000
+#: A source has 2**12 slices by the first bits of the key, each of up to 2**12 finer ones, as its rows ask for it.
+SLICE_BITS = 12
+#: Most parts that the global order is cut into at a time; the one where the budget ends is cut again while it is large.
+PARTS = 4_096
 
 
 def words_of(text: Column) -> Column:
@@ -48,17 +53,25 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PA
 
 
 def _rows(df: DataFrame, text: str, source: str, id_column: str, keep: Sequence[str]) -> DataFrame:
-    key = F.md5(F.concat_ws(":", F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`")))
+    own, body = F.col(f"`{id_column}`").cast("string"), F.col(f"`{text}`")
+    own = F.coalesce(F.concat(F.length(own), F.lit(":"), own), F.lit("-"))
+    key = F.md5(F.concat(own, F.coalesce(F.concat(F.lit("+"), body), F.lit("-"))))
     name = F.col(f"`{source}`").cast("string")
     return df.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"),
         F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name)).alias("queue"),
-        words_of(F.col(f"`{text}`")).alias("size"),
+        words_of(body).alias("size"),
         F.unhex(key).alias("key"),
-        F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("slice"),
     )
 
 
+def _sliced(rows: DataFrame, bits: int) -> DataFrame:
+    """Adds `slice`, the first SLICE_BITS bits of the key, and `fine`, the next `bits`; of the first 24 together."""
+    head, rest = F.conv(F.hex(F.substring("key", 1, 3)), 16, 10).cast("int"), 24 - SLICE_BITS
+    fine = F.shiftright(head.bitwiseAND(F.lit((1 << rest) - 1)), rest - bits)
+    return rows.withColumn("slice", F.shiftright(head, rest)).withColumn("fine", fine)
+
+
 def _finish(turn: Column) -> Column:
     return (turn * F.col("source_size") + F.col("reach")) / F.col("target")
 
@@ -75,24 +88,34 @@ def mix(
     """Every row's `keep` columns (all if None) and size, source_size, target, turns (times the mix takes it) and taken
     (the words that makes).  A kept column with one of these names gives way.
 
-    The order of a source is that of md5(id : text), so reruns agree, whatever the partitions; rows equal in id, text
-    and source are interchangeable.  A null text has size 0; rows of size 0 are never taken; a null source is a source
+    The order of a source is that of md5 of the id, behind its length, and the text, nulls marked, so reruns agree,
+    whatever the partitions; rows equal in id, text and source are interchangeable.  A null text has size 0; rows of size 0 are never taken; a null source is a source
     of its own, last in order; an empty table gives no rows.
     """
     added = ("size", "source_size", "target", "turns", "taken")
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in added]
     small = stored(_rows(df, text, source, id_column, [id_column]).drop("kept"), "mix-documents")
-    slices = small.groupBy("queue", "slice").agg(F.sum("size").alias("slice_size"))
-    sizes = slices.groupBy("queue").agg(F.sum("slice_size").alias("source_size"))
+    wanted = (small.count() // slice_rows).bit_length()  # bits that leave about slice_rows rows of one source together
+    bits = min(24 - SLICE_BITS, max(0, wanted - SLICE_BITS))
+    slices = _sliced(small, bits).groupBy("queue", "slice", "fine").agg(F.sum("size").alias("fine_size"))
+    slices = stored(slices, "mix-slices")
+    coarse = slices.groupBy("queue", "slice").agg(F.sum("fine_size").alias("slice_size"))
+    sizes = coarse.groupBy("queue").agg(F.sum("slice_size").alias("source_size"))
     sizes = sizes.withColumn("source", F.when(F.col("queue") != "-", F.substring("queue", 2, 1 << 30)))
     goals = targets(sizes, weights, passes)
-    before = W.partitionBy("queue").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    earlier = slices.withColumn("before", F.coalesce(F.sum("slice_size").over(before), F.lit(0))).drop("slice_size")
-    starts = stored(earlier.join(goals.drop("source"), "queue"), "mix-queues")  # 4,096 rows a source at most
+
+    def earlier(size: str, order: str, *within: str) -> Column:  # of 4,096 rows at most
+        window = W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(window), F.lit(0))
+
+    coarse = coarse.withColumn("earlier", earlier("slice_size", "slice", "queue")).drop("slice_size")
+    before = F.col("earlier") + earlier("fine_size", "fine", "queue", "slice")
+    starts = slices.join(coarse, ["queue", "slice"]).withColumn("before", before).drop("earlier", "fine_size")
+    starts = stored(starts.join(goals.drop("source"), "queue"), "mix-queues")
 
     def queued(rows: DataFrame) -> DataFrame:
-        within = W.partitionBy("queue", "slice").orderBy("key").rowsBetween(W.unboundedPreceding, 0)
-        reached = rows.withColumn("own", F.sum("size").over(within)).join(starts, ["queue", "slice"])
+        within = W.partitionBy("queue", "slice", "fine").orderBy("key").rowsBetween(W.unboundedPreceding, 0)
+        reached = _sliced(rows, bits).withColumn("own", F.sum("size").over(within)).join(starts, ["queue", "slice", "fine"])
         return reached.withColumn("reach", F.col("before") + F.col("own"))
 
     turns = F.sequence(F.lit(0), F.lit(passes - 1))
@@ -109,21 +132,35 @@ def mix(
     )
 
 
-def _cut(copies: DataFrame, slice_rows: int) -> DataFrame:
-    """One row: the last spot of the global order within the budget; null if there is none."""
-    copies = stored(copies, "mix-copies")
-    parts = max(16, copies.count() // slice_rows + 1)
-    ranged = copies.repartitionByRange(parts, "spot").withColumn("part", F.spark_partition_id())
-    ranged = stored(ranged, "mix-order")
-    totals = ranged.groupBy("part").agg(F.sum("size").alias("words"), F.max("budget").alias("budget"), F.max("spot").alias("last"))
-    until = F.sum("words").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, 0))  # one row per slice of the order
-    totals = totals.withColumn("until", until).withColumn("before", F.col("until") - F.col("words"))
-    whole = totals.where(F.col("until") <= F.col("budget")).select(F.max("last").alias("end"))
-    split = totals.where((F.col("before") < F.col("budget")) & (F.col("until") > F.col("budget"))).select("part", "before")
-    inside = W.partitionBy("part").orderBy("spot").rowsBetween(W.unboundedPreceding, 0)
-    part = ranged.join(split, "part").withColumn("until", F.col("before") + F.sum("size").over(inside))
-    part = part.where(F.col("until") <= F.col("budget")).select(F.max("spot").alias("end"))
-    return stored(whole.unionByName(part).agg(F.max("end").alias("end")), "mix-end")
+def _cut(copies: DataFrame, slice_rows: int, most_parts: int = PARTS) -> DataFrame:
+    """One row: the last spot of the global order within the budget; null if there is none.
+
+    The order is cut into ranges whose words are summed; the range where the budget ends is cut again, until one task can
+    order it.  The driver sees one row for each time.
+    """
+    rows = stored(copies, "mix-copies")
+    count, before, ends = rows.count(), 0, []
+    while count > slice_rows:
+        parts = min(most_parts, max(16, count // slice_rows + 1))
+        ranged = rows.repartitionByRange(parts, "spot").withColumn("part", F.spark_partition_id())
+        ranged = stored(ranged, "mix-order")
+        totals = ranged.groupBy("part").agg(
+            F.sum("size").alias("words"), F.max("budget").alias("budget"), F.max("spot").alias("last"), F.count("*").alias("n")
+        )
+        until = F.sum("words").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, 0))  # one row per part
+        totals = stored(totals.withColumn("until", F.lit(before) + until), "mix-parts")
+        ends.append(totals.where(F.col("until") <= F.col("budget")).select(F.max("last").alias("end")))
+        split = totals.where((F.col("until") > F.col("budget")) & (F.col("until") - F.col("words") < F.col("budget"))).first()
+        if split is None:
+            return stored(reduce(DataFrame.unionByName, ends).agg(F.max("end").alias("end")), "mix-end")
+        rows = ranged.where(F.col("part") == split["part"]).drop("part")
+        before = split["until"] - split["words"]
+        if split["n"] == count:  # one range, which can't be cut
+            break
+        count = split["n"]
+    until = F.lit(before) + F.sum("size").over(W.orderBy("spot").rowsBetween(W.unboundedPreceding, 0))
+    ends.append(rows.withColumn("until", until).where(F.col("until") <= F.col("budget")).select(F.max("spot").alias("end")))
+    return stored(reduce(DataFrame.unionByName, ends).agg(F.max("end").alias("end")), "mix-end")
 
 
 def mixed_rows(df: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = PASSES, **columns) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 _MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(concat_ws(':', doc_id::VARCHAR, text)) AS key
+         md5(coalesce(len(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce('+' || text, '-')) AS key
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place

@@ -11,7 +11,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tallyloom.llm import divergence, hnsw, kdtree, language, quality_rules, shards, spelling, toxicity
+from tallyloom.llm import bpe, divergence, hnsw, kdtree, language, mixing, neardup, quality_rules, shards, spelling, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, score double, kept string, word string, n int"
 LONG = " ".join(f"Wörd{i % 977}x{i % 31}" for i in range(30_000))
@@ -355,3 +355,67 @@ def test_near_vectors_share_shards_and_queries_skip_the_others(spark, monkeypatc
         assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
     shipped = sum(r["n"] for r in sent[0].collect())
     assert shipped < 0.6 * 60 * (count - 1)  # the others were ruled out by a box before anything was sent
+
+
+# --- near copies, mixing, tokens -----------------------------------------------------------------------------------
+
+
+def test_a_bucket_of_a_third_of_all_texts_is_split(spark, monkeypatch):
+    """The joins on buckets have plain shuffles on both sides, so adaptive execution deals a large bucket to several tasks."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{base} own{i}" if i % 3 == 0 else " ".join(f"v{(i * 61 + j) % 9973}" for j in range(40))) for i in range(3000)]
+    plans, before = [], neardup.stored
+
+    def seen(df, name):
+        out = before(df, name)
+        if name == "neardup-pairs":
+            plans.append(df)
+        return out
+
+    monkeypatch.setattr(neardup, "stored", seen)
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        told = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        plans[0].collect()
+        assert "skew=true" in plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {told[i] for i in range(0, 3000, 3)} == {0}
+
+
+def test_mix_is_the_same_however_it_is_cut(spark, monkeypatch):
+    rows = [(None if i % 7 == 0 else i % 40, "w " * (i % 23), ["a", "b", None][i % 3 and i % 2 + 1]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    key = lambda df: sorted((str(r["doc_id"]), r["text"], str(r["source"]), r["taken"]) for r in df.collect())
+    whole = key(mixing.mix(frame))
+    monkeypatch.setattr(mixing, "SLICE_BITS", 2)  # finer slices, and a cut of many levels
+    monkeypatch.setattr(mixing._cut, "__defaults__", (3,))
+    assert key(mixing.mix(frame.repartition(5), slice_rows=10)) == whole
+
+
+def test_ids_and_texts_that_join_alike_have_keys_of_their_own(spark):
+    rows = [(None, "1:x y z"), (1, "x y z"), (1, ":x y z"), (11, "x y z"), (1, "1:x y z"), (1, None), (1, ""), (None, None), (None, "-")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("a"))
+    assert mixing._rows(frame, "text", "source", "doc_id", []).select("key").distinct().count() == len(rows)
+
+
+def test_pieces_kept_are_bounded(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "CACHE_CHARACTERS", 2_000)
+    coder = bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    whole = bpe.codec(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    for i in range(60):
+        text = f"{'ab' * (20 + i)} some text"
+        assert coder.ids(text) == whole.ids(text) and coder.kept < 4_000 and len(coder.known) < 30
