@@ -340,14 +340,13 @@ def _linked(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["a", "b"])
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Every member of a bucket with the bucket's leader: the node that meets most others over all its buckets."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    shared = members.join(sizes, "bucket")
-    meets = shared.groupBy("node").agg(F.sum("members").alias("meets"))
-    shared = shared.join(meets, "node")
-    leaders = shared.groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("leader"))
-    return shared.join(leaders, "bucket").where(F.col("node") != F.col("leader")).select(
+def _pairs(shared: DataFrame) -> DataFrame:
+    """Every member of a bucket of (bucket, node, members) with the bucket's leader: the node that meets most others over
+    all its buckets."""
+    meets = stored(shared.groupBy("node").agg(F.sum("members").alias("meets")), "neardup-meets")
+    ranked = stored(shared.join(meets, "node").select("bucket", "node", "meets"), "neardup-ranked")
+    leaders = stored(ranked.groupBy("bucket").agg(F.max(F.struct("meets", "node"))["node"].alias("leader")), "neardup-firsts")
+    return ranked.join(leaders, "bucket").where(F.col("node") != F.col("leader")).select(
         F.col("leader").alias("a"), F.col("node").alias("b")
     )
 
@@ -366,9 +365,11 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", settin
     signed = stored(signed, "neardup-signatures")
     members = signed.where("bands is not null").select("node", F.explode("bands").alias("bucket")).distinct()
     members = stored(members, "neardup-buckets")
-    first = stored(_pairs(members).distinct(), "neardup-pairs")
+    # Aggregates are stored before they are joined: with plain shuffles on both sides, a large bucket can be split.
+    sizes = stored(members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "neardup-sizes")
+    shared = stored(members.join(sizes, "bucket"), "neardup-shared")
+    first = stored(_pairs(shared).distinct(), "neardup-pairs")
 
-    shared = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket", "left_semi")
     candidates = shared.select("node").distinct()
     # One copy of each candidate text, whatever the number of rows that hold it.
     texts = stored(docs.join(candidates, "node", "left_semi").dropDuplicates(["node"]).select("node", "_text"), "neardup-texts")
@@ -376,17 +377,19 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", settin
     roots = components(links, "neardup-leaders")
 
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    placed = placed.join(several.where("low != high").select("bucket", "members"), "bucket")
+    placed = stored(placed, "neardup-placed")
+    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    placed = placed.join(stored(several.select("bucket"), "neardup-several"), "bucket")
     more = stored(_across_classes(placed, texts, weights, setting), "neardup-more")
     roots = components(links.unionByName(more), "neardup-classes")
 
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("rows"))
     nodes = stored(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "neardup-nodes")
-    totals = nodes.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("rows").alias("class_size"))
     # A class of null ids only has a null class_id; its first node then stands for it.
-    firsts = nodes.groupBy("root").agg(F.min(F.struct(F.col("low").isNull(), "low", "node"))["node"].alias("first_node"))
-    told = nodes.join(totals, "root").join(firsts, "root").select("node", "class_id", "class_size", "first_node")
+    least = F.min(F.struct(F.col("low").isNull(), "low", "node"))
+    totals = nodes.groupBy("root").agg(least.alias("first"), F.sum("rows").alias("class_size"))
+    totals = totals.select("root", F.col("first.low").alias("class_id"), "class_size", F.col("first.node").alias("first_node"))
+    told = nodes.join(stored(totals, "neardup-totals"), "root").select("node", "class_id", "class_size", "first_node")
     grouped = signed.where("node is not null").select("doc_id", "node").join(told, "node")
     stays = (F.col("node") == F.col("first_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
     grouped = grouped.select("doc_id", "node", "class_id", "class_size", stays.alias("keep"))
