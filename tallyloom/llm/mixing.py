@@ -72,6 +72,25 @@ def _sliced(rows: DataFrame, bits: int) -> DataFrame:
     return rows.withColumn("slice", F.shiftright(head, rest)).withColumn("fine", fine)
 
 
+def _befores(slices: DataFrame, bits: int) -> DataFrame:
+    """(queue, slice, fine, before): the sizes that come before each slice in its queue.
+
+    No window is over more rows than a queue has slices, or a slice finer ones; where there are none (bits is 0), one
+    window does.
+    """
+
+    def earlier(order: str, *within: str) -> Column:
+        window = W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum("slice_size").over(window), F.lit(0))
+
+    if not bits:
+        return slices.withColumn("before", earlier("slice", "queue")).drop("slice_size")
+    coarse = slices.groupBy("queue", "slice").agg(F.sum("slice_size").alias("slice_size"))
+    coarse = coarse.withColumn("whole", earlier("slice", "queue")).drop("slice_size")
+    inside = slices.withColumn("part", earlier("fine", "queue", "slice")).join(coarse, ["queue", "slice"])
+    return inside.select("queue", "slice", "fine", (F.col("whole") + F.col("part")).alias("before"))
+
+
 def _finish(turn: Column) -> Column:
     return (turn * F.col("source_size") + F.col("reach")) / F.col("target")
 
@@ -97,21 +116,11 @@ def mix(
     small = stored(_rows(df, text, source, id_column, [id_column]).drop("kept"), "mix-documents")
     wanted = (small.count() // slice_rows).bit_length()  # bits that leave about slice_rows rows of one source together
     bits = min(24 - SLICE_BITS, max(0, wanted - SLICE_BITS))
-    slices = _sliced(small, bits).groupBy("queue", "slice", "fine").agg(F.sum("size").alias("fine_size"))
-    slices = stored(slices, "mix-slices")
-    coarse = slices.groupBy("queue", "slice").agg(F.sum("fine_size").alias("slice_size"))
-    sizes = coarse.groupBy("queue").agg(F.sum("slice_size").alias("source_size"))
+    slices = _sliced(small, bits).groupBy("queue", "slice", "fine").agg(F.sum("size").alias("slice_size"))
+    sizes = slices.groupBy("queue").agg(F.sum("slice_size").alias("source_size"))
     sizes = sizes.withColumn("source", F.when(F.col("queue") != "-", F.substring("queue", 2, 1 << 30)))
     goals = targets(sizes, weights, passes)
-
-    def earlier(size: str, order: str, *within: str) -> Column:  # of 4,096 rows at most
-        window = W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return F.coalesce(F.sum(size).over(window), F.lit(0))
-
-    coarse = coarse.withColumn("earlier", earlier("slice_size", "slice", "queue")).drop("slice_size")
-    before = F.col("earlier") + earlier("fine_size", "fine", "queue", "slice")
-    starts = slices.join(coarse, ["queue", "slice"]).withColumn("before", before).drop("earlier", "fine_size")
-    starts = stored(starts.join(goals.drop("source"), "queue"), "mix-queues")
+    starts = stored(_befores(slices, bits).join(goals.drop("source"), "queue"), "mix-queues")
 
     def queued(rows: DataFrame) -> DataFrame:
         within = W.partitionBy("queue", "slice", "fine").orderBy("key").rowsBetween(W.unboundedPreceding, 0)
