@@ -370,9 +370,13 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", settin
     shared = stored(members.join(sizes, "bucket"), "neardup-shared")
     first = stored(_pairs(shared).distinct(), "neardup-pairs")
 
-    candidates = shared.select("node").distinct()
-    # One copy of each candidate text, whatever the number of rows that hold it.
-    texts = stored(docs.join(candidates, "node", "left_semi").dropDuplicates(["node"]).select("node", "_text"), "neardup-texts")
+    # One copy of each candidate text, whatever the number of rows that hold it: that of its least id, so that the rows of
+    # a text are dealt by id as well and never meet in one task.
+    picks = signed.where("bands is not null").groupBy("node").agg(F.min("doc_id").alias("_id"))
+    picks = stored(picks.join(shared.select(F.col("node").alias("_node")).distinct(), F.col("node") == F.col("_node")), "neardup-picks")
+    own = (docs["node"] == picks["_node"]) & docs["doc_id"].eqNullSafe(picks["_id"])
+    texts = docs.join(picks.select("_node", "_id"), own, "left_semi").select("node", "_text").dropDuplicates(["node"])
+    texts = stored(texts, "neardup-texts")
     links = stored(verified(first, texts, weights, setting), "neardup-links")
     roots = components(links, "neardup-leaders")
 
