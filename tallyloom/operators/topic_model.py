@@ -1,9 +1,11 @@
 """Latent Dirichlet allocation by variational Bayes, with learned priors of topics in documents and of words in topics.
 
 The word sums of the topics are a table of one row per term and stay one: no node holds the vocabulary, and a term limit
-is not needed.  Documents are dealt into blocks of bounded size.  In a pass each block meets the rows of its own terms,
-improves its documents' topic weights over whole arrays, and gives back one row of sums per term; sums of blocks make the
-next table.  The driver sees numbers of topics only.
+is not needed.  Documents are dealt into blocks of bounded size, blocks into groups, and the ids and counts of their terms
+are stored by group once, in buckets, so that passes don't shuffle them; other columns stay out of the passes.  In a pass
+each group meets the rows of its own terms and its documents' weights, improves these block by block over whole arrays, and
+gives back one row of sums per term; sums of groups make the next table.  A pass writes over the tables of the last but one.
+The driver sees numbers of topics only.
 
 Weights of documents are kept from pass to pass, and priors take a Newton step only as far as it raises the bound, so the
 bound of the passes never falls.
@@ -22,10 +24,12 @@ from pyspark.sql import functions as F
 from tallyloom.functions.gammas import digamma, log_gamma, trigamma
 from tallyloom.functions.numbering import numbered
 from tallyloom.operators.text import build_vocabulary
-from tallyloom.session import stored
+from tallyloom.session import stored, stored_buckets, work_name
 
 #: Counts of terms in documents that a block holds, about.
 BLOCK_TERMS = 200_000
+#: Most blocks of a group, and groups of a bucket where there are blocks enough.
+GROUP_BLOCKS, BUCKET_GROUPS = 40, 3
 #: Steps of the weights of a block's documents in a pass, and the mean change that ends them earlier.
 STEPS, SETTLED = 50, 1e-4
 #: Parts of a Newton step that are tried on the prior of words.
@@ -52,24 +56,46 @@ class TopicModel:
     bounds: list[float] = field(default_factory=list)
 
 
-def bags(tokenised: DataFrame, vocabulary: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """Documents with `_row`, `_block`, and the ids and counts of their terms in `vocabulary` (term, term_id).
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """(_row, term, n): every document's different words.  A document is counted where it is, without a shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1).fill_null([])
+            words = lists.flatten().dictionary_encode()
+            place = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            known = words.indices.is_valid().to_numpy(zero_copy_only=False)
+            codes = words.indices.fill_null(0).to_numpy()[known].astype(np.int64)
+            width = max(1, len(words.dictionary))
+            pairs, n = np.unique(place[known] * width + codes, return_counts=True)
+            columns = [batch.column(0).take(pa.array(pairs // width)), words.dictionary.take(pa.array(pairs % width)), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_row", "term", "n"])
+
+    return rows.select("_row", "tokens").mapInArrow(count, "_row long, term string, n long")
+
+
+def bags(rows: DataFrame, vocabulary: DataFrame, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, int, int]:
+    """`_group`, `_block`, `_row`, and the ids and counts of terms in `vocabulary` (term, term_id) of rows (_row, tokens), and
+    the numbers of groups and blocks.
 
     Words of a document are counted before they meet the vocabulary, so a common word is one row per document.
     """
-    rows = stored(tokenised.withColumn("_row", F.monotonically_increasing_id()), "topic-documents")
-    words = rows.select("_row", F.explode("tokens").alias("term")).groupBy("_row", "term").agg(F.count("*").alias("n"))
-    known = words.join(vocabulary.select("term", "term_id"), "term").select("_row", "term_id", "n")
+    known = _word_counts(rows).join(vocabulary.select("term", "term_id"), "term").select("_row", "term_id", "n")
     gathered = known.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("term_id", "n"))).alias("_b"))
     gathered = stored(
         gathered.select("_row", F.col("_b")["term_id"].alias("terms"), F.col("_b")["n"].alias("counts")), "topic-counts"
     )
     size = gathered.agg(F.sum(F.size("terms")).alias("n")).first()["n"] or 0
+    blocks = -(-size // block_terms) or 1
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    groups = max(-(-blocks // GROUP_BLOCKS), min(blocks, BUCKET_GROUPS * cores))
     none = F.array().cast("array<long>")
-    block = F.pmod(F.xxhash64("_row"), F.lit(-(-size // block_terms) or 1))
-    return rows.join(gathered, "_row", "left").select(
-        *rows.columns, block.alias("_block"), F.coalesce("terms", none).alias("terms"), F.coalesce("counts", none).alias("counts")
-    )
+    block = F.pmod(F.xxhash64("_row"), F.lit(blocks))
+    dealt = rows.select("_row").join(gathered, "_row", "left").select(
+        F.pmod(block, F.lit(groups)).alias("_group"), block.alias("_block"), "_row",
+        F.coalesce("terms", none).alias("terms"), F.coalesce("counts", none).alias("counts"),
+    )
+    return dealt, groups, blocks
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -85,13 +111,17 @@ def improve(
     place: np.ndarray, term: np.ndarray, counts: np.ndarray, gamma: np.ndarray, words: np.ndarray, alpha: np.ndarray, steps: int = STEPS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Topic weights of documents, expected counts of terms in topics, and sums over the documents (their number, their part
-    of the bound, expected logarithms and counts of each topic), from (document, term, count) triples, earlier weights, and exponentials of the words' expected
+    of the bound, expected logarithms and counts of each topic), from (document, term, count) triples, ordered by document, earlier weights, and exponentials of the words' expected
     logarithms."""
     n, k = gamma.shape
     beta = words[term]
+    full, first = np.unique(place, return_index=True)  # places ascend
 
     def per_document(values):
-        return np.stack([np.bincount(place, values[:, i], n) for i in range(k)], axis=1)
+        out = np.zeros((n, k))
+        if len(first):
+            out[full] = np.add.reduceat(values, first, axis=0)
+        return out
 
     for _ in range(steps):
         theta = np.exp(log_expectation(gamma))
@@ -112,39 +142,64 @@ def improve(
 
 
 def _expectation(k: int, alpha: np.ndarray, totals: np.ndarray):
-    """The work of one block in one pass."""
+    """The work of one group in one pass, block by block."""
     spent = digamma(totals)
 
-    def block(documents: pa.Table, words: pa.Table) -> pa.Table:
-        ids = words.column("term_id").to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        own = np.exp(digamma(_matrix(words.column("weights"), k)[order]) - spent) if len(ids) else np.zeros((0, k))
+    def block(documents: pa.Table, ids: np.ndarray, own: np.ndarray, known: np.ndarray, weights: np.ndarray):
         lists = documents.column("terms").combine_chunks()
-        lengths = np.diff(lists.offsets.to_numpy())
+        lengths = lists.value_lengths().to_numpy()
         place = np.repeat(np.arange(len(lengths)), lengths)
-        term = np.searchsorted(ids, lists.flatten().to_numpy())
+        used, term = np.unique(np.searchsorted(ids, lists.flatten().to_numpy()), return_inverse=True)
         counts = documents.column("counts").combine_chunks().flatten().to_numpy().astype(np.float64)
-        gammas = documents.column("gamma")
-        if gammas.null_count:
-            each = np.bincount(place, counts, len(lengths))
-            gamma = alpha + each[:, None] / k
+        if len(known):
+            gamma = weights[np.searchsorted(known, documents.column("_row").to_numpy())]
         else:
-            gamma = _matrix(gammas, k)
-        gamma, sums, told = improve(place, term, counts, gamma, own, alpha)
-        kind = np.concatenate([np.full(len(gamma), _DOCUMENT), np.full(len(ids), _TERM), [_SUMS]])
-        at = np.concatenate([documents.column("_row").to_numpy(), ids, [0]])
-        vectors = [*gamma.tolist(), *sums.tolist(), told.tolist()]
-        return pa.table({"kind": pa.array(kind, pa.int32()), "id": pa.array(at, pa.int64()), "vec": pa.array(vectors, pa.list_(pa.float64()))})
-
-    return block
-
-
-def _pass(documents: DataFrame, needed: DataFrame, topics: DataFrame, k: int, alpha: np.ndarray, totals: np.ndarray) -> DataFrame:
-    """(kind, id, vec) of one pass over all blocks: documents' weights, terms' sums, and each block's own sums."""
-    met = needed.join(topics.select("term_id", "weights"), "term_id")
-    sides = documents.groupBy("_block").cogroup(met.groupBy("_block"))
-    return stored(sides.applyInArrow(_expectation(k, alpha, totals), "kind int, id long, vec array<double>"), "topic-pass")
+            gamma = alpha + np.bincount(place, counts, len(lengths))[:, None] / k
+        return used, *improve(place, term, counts, gamma, own[used], alpha)
+
+    def group(documents: pa.Table, met: pa.Table) -> pa.Table:
+        kinds, at, vectors = met.column("kind").to_numpy(), met.column("id").to_numpy(), _matrix(met.column("vec"), k)
+        sides = []
+        for kind in (_TERM, _DOCUMENT):
+            chosen = np.flatnonzero(kinds == kind)
+            chosen = chosen[np.argsort(at[chosen])]
+            sides.append((at[chosen], vectors[chosen]))
+        (ids, words), (known, weights) = sides
+        own = np.exp(digamma(words) - spent) if len(ids) else np.zeros((0, k))
+        documents = documents.sort_by("_block")
+        changes = np.flatnonzero(np.diff(documents.column("_block").to_numpy())) + 1
+        edges = [0, *changes.tolist(), documents.num_rows] if documents.num_rows else [0]
+        sums, told, gammas = np.zeros((len(ids), k)), np.zeros(2 + 2 * k), [np.zeros((0, k))]
+        for start, end in zip(edges, edges[1:]):
+            used, gamma, given, part = block(documents.slice(start, end - start), ids, own, known, weights)
+            sums[used] += given
+            told += part
+            gammas.append(gamma)
+        rows = documents.column("_row").to_numpy()
+        kind = np.concatenate([np.full(len(rows), _DOCUMENT), np.full(len(ids), _TERM), [_SUMS]])
+        flat = np.concatenate([*[g.ravel() for g in gammas], sums.ravel(), told])
+        ends = np.append(np.arange(len(rows) + len(ids) + 1) * k, len(flat))
+        vec = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        number = documents.column("_group")[0].as_py() if documents.num_rows else met.column("_group")[0].as_py()
+        whole = [pa.array(np.full(len(kind), number), pa.int64()), pa.array(kind, pa.int32()), pa.array(np.concatenate([rows, ids, [0]]), pa.int64()), vec]
+        return pa.table(whole, names=["_group", "kind", "id", "vec"])
+
+    return group
+
+
+_PASS = "_group long, kind int, id long, vec array<double>"
+
+
+def _pass(
+    documents: DataFrame, needed: DataFrame, topics: DataFrame, last: DataFrame | None, k: int, alpha: np.ndarray, totals: np.ndarray, name: str
+) -> DataFrame:
+    """(_group, kind, id, vec) of one pass over all groups: documents' weights, terms' sums, and each group's own sums."""
+    words = needed.join(topics.select("term_id", "weights"), "term_id")
+    met = words.select(F.explode("groups").alias("_group"), F.lit(_TERM).alias("kind"), F.col("term_id").alias("id"), F.col("weights").alias("vec"))
+    if last is not None:
+        met = met.unionByName(last.where(F.col("kind") == _DOCUMENT))
+    sides = documents.groupBy("_group").cogroup(met.groupBy("_group"))
+    return stored(sides.applyInArrow(_expectation(k, alpha, totals), _PASS), "topic-pass", name)
 
 
 def _summed(table: DataFrame, work, width: int) -> np.ndarray:
@@ -257,39 +312,34 @@ def fit(
 
     Both priors start at 1/k.  Rows without a known word have the prior as their weights.
     """
-    vocabulary = build_vocabulary(tokenised, min_documents, max_share).withColumn("_rare", -F.col("documents"))
+    rows = stored(tokenised.withColumn("_row", F.monotonically_increasing_id()), "topic-documents")
+    vocabulary = build_vocabulary(rows, min_documents, max_share).withColumn("_rare", -F.col("documents"))
     terms = stored(numbered(vocabulary, ["_rare", "term"], "term_id").drop("_rare"), "topic-terms")
     if terms.isEmpty():
         raise ValueError("no term is in enough documents")
-    documents = stored(bags(tokenised, terms, block_terms).drop("tokens"), "topic-bags")
-    needed = stored(documents.select("_block", F.explode("terms").alias("term_id")).distinct(), "topic-needs")
-    topics = stored(first_topics(terms, k, seed), "topic-words")
-    alpha, bounds, weights = np.full(k, 1.0 / k), [], None
+    dealt, groups, blocks = bags(rows.select("_row", "tokens"), terms, block_terms)
+    documents = stored_buckets(dealt, "topic-bags", "_group", max(1, -(-groups // BUCKET_GROUPS)))
+    needed = documents.select("_group", F.explode("terms").alias("term_id")).distinct()
+    needed = stored(needed.groupBy("term_id").agg(F.collect_list("_group").alias("groups")), "topic-needs")
+    slots = [work_name("topic-slot") for _ in range(2)]
+    topics = stored(first_topics(terms, k, seed), "topic-words", slots[1])
+    alpha, bounds, result = np.full(k, 1.0 / k), [], None
     totals, prior = _totals(topics, k)
     topic_bound = None  # not that of the starting weights, which no prior explains
-    for _ in range(passes):
-        result = _pass(_with_weights(documents, weights), needed, topics, k, alpha, totals)
-        weights = _document_weights(result)
+    for turn in range(passes):
+        slot = slots[turn % 2]
+        result = _pass(documents, needed, topics, result, k, alpha, totals, slot)
         sums = result.where(F.col("kind") == _SUMS).agg(*[F.sum(F.col("vec")[i]) for i in range(2 * k + 2)]).first()
         if topic_bound is not None:
             bounds.append(float(sums[1]) + topic_bound)
         alpha = dirichlet_prior(alpha, np.array(sums[2 : 2 + k], np.float64), float(sums[0]))
         totals = prior + np.array(sums[2 + k :], np.float64)
-        topics, prior, topic_bound = _word_prior(stored(_maximised(result, topics, k), "topic-words"), totals, prior)
+        topics, prior, topic_bound = _word_prior(stored(_maximised(result, topics, k), "topic-words", slot), totals, prior)
     topics = stored(topics, "topic-words")
-    last = _pass(_with_weights(documents, weights), needed, topics, k, alpha, totals)
-    placed = stored(_with_weights(documents, _document_weights(last)), "topic-placed")
-    return TopicModel(k, terms, topics, placed, alpha, totals, bounds)
-
-
-def _document_weights(result: DataFrame) -> DataFrame:
-    return result.where(F.col("kind") == _DOCUMENT).select(F.col("id").alias("_row"), F.col("vec").alias("gamma"))
-
-
-def _with_weights(documents: DataFrame, weights: DataFrame | None) -> DataFrame:
-    if weights is None:
-        return documents.withColumn("gamma", F.lit(None).cast("array<double>"))
-    return documents.join(weights, "_row")
+    last = _pass(documents, needed, topics, result, k, alpha, totals, work_name("topic-slot"))
+    weights = last.where(F.col("kind") == _DOCUMENT).select(F.col("id").alias("_row"), F.col("vec").alias("gamma"))
+    placed = rows.drop("tokens").join(documents.drop("_group").join(weights, "_row"), "_row")
+    return TopicModel(k, terms, topics, stored(placed, "topic-placed"), alpha, totals, bounds)
 
 
 def _maximised(result: DataFrame, topics: DataFrame, k: int) -> DataFrame:
