@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from tallyloom.operators.prepare import stratified_split
 from tallyloom.session import spread, stored
 
+#: Tasks of a pass of the fit.  Each pass adds up their gradients, which are as long as classes times features, by a tree,
+#: and the driver takes the last few: their number grows with the tasks, so more rows make longer tasks, not more.
+FIT_TASKS = 8
+
 
 @dataclass(frozen=True)
 class SentimentFit:
@@ -67,7 +71,7 @@ def sentiment_classifier(
         LogisticRegression(maxIter=max_iter, regParam=0.01, family="auto"),
         IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels),
     ]
-    model = Pipeline(stages=stages).fit(split.where("not is_test"))
+    model = Pipeline(stages=stages).fit(split.where("not is_test").coalesce(FIT_TASKS))
     scored = model.transform(split.where("is_test")).select(key, "sentiment", "predicted", "label", "prediction", "probability")
     return SentimentFit(stored(scored, "review_scores"), list(indexer.labels))
 

@@ -5,8 +5,9 @@ word ids, all work on the same batch at a time, and gradients are exchanged by `
 steps.  Batches and the validation part are chosen by hash of the row, so the number of trainers changes nothing but the
 order of sums.  Training ends when the validation loss no longer falls, and the best weights count.
 
-What is exchanged has the size of the model (some 100,000 numbers), whatever the number of rows; `trainers` bounds how
-many take part, `most_rows` how many rows they hold.  Scoring takes every row and needs no exchange.
+What is exchanged has the size of the model (some 100,000 numbers), whatever the number of rows, and an epoch has at most
+`most_batches` exchanges: of more rows each batch is larger, and its gradients are worked out slice by slice.  `trainers`
+bounds how many take part (few rows need few), `most_rows` how many rows they hold.  Scoring takes every row and needs no exchange.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tallyloom.session import stored
 # Words known, words of a review that are read.
 WORDS, LENGTH = 5_000, 100
 WIDTH = 3
+#: Rows worth a trainer of their own, and rows whose gradients are worked out at once.
+TRAINER_ROWS, SLICE = 4_096, 1_024
 _NAMES = ("embedding", "kernel", "offset", "weights", "bias")
 
 
@@ -41,6 +44,7 @@ class Training:
     epochs: int = 30
     patience: int = 4
     batch_rows: int = 1_024
+    most_batches: int = 16
     validation: float = 0.1
     trainers: int = 8
     most_rows: int = 1_000_000
@@ -80,31 +84,40 @@ def _windows(ids: np.ndarray) -> np.ndarray:
 
 
 def _forward(w: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Scores of the classes, and what the way back needs."""
+    """Scores of the classes, and what the way back needs.
+
+    Each word's part in a filter's answer is worked out once for each place of the window; windows are met one by one.
+    """
     windows = _windows(ids)
-    seen = w["embedding"][windows].reshape(*windows.shape[:2], -1)
-    answers = seen @ w["kernel"] + w["offset"]
-    answers[~(windows != 0).any(axis=2)] = -1.0  # windows of padding say nothing
-    best = answers.argmax(axis=1)
-    top = np.take_along_axis(answers, best[:, None, :], 1)[:, 0]
+    parts = [w["embedding"] @ own for own in np.split(w["kernel"], WIDTH)]
+    padding = ~(windows != 0).any(axis=2)  # windows of padding say nothing
+    top, best = None, np.zeros((len(ids), len(w["offset"])), np.int64)
+    for place in range(windows.shape[1]):
+        answer = sum(part[windows[:, place, i]] for i, part in enumerate(parts)) + w["offset"]
+        answer[padding[:, place]] = -1.0
+        if top is None:
+            top = answer
+            continue
+        better = answer > top
+        np.copyto(top, answer, where=better)
+        best[better] = place
     pooled = np.maximum(top, 0)
-    return pooled @ w["weights"] + w["bias"], (windows, seen, best, top > 0, pooled)
+    return pooled @ w["weights"] + w["bias"], (windows, best, top > 0, pooled)
 
 
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Summed gradients of the logistic loss of rows, and the summed loss."""
-    scores, (windows, seen, best, alive, pooled) = _forward(w, ids)
+    scores, (windows, best, alive, pooled) = _forward(w, ids)
     chance = _softmax(scores)
     rows = np.arange(len(ids))
     loss = float(-np.log(np.maximum(chance[rows, labels], 1e-15)).sum())
     error = chance.copy()
     error[rows, labels] -= 1
     back = (error @ w["weights"].T) * alive
-    chosen = seen[rows[:, None], best]  # row, filter, window
-    inside = back[:, :, None] * w["kernel"].T[None]
-    embedding = np.zeros_like(w["embedding"])
-    at = windows[rows[:, None], best].reshape(-1)
-    np.add.at(embedding, at, inside.reshape(len(at), -1))
+    taken = windows[rows[:, None], best]
+    chosen = w["embedding"][taken].reshape(*best.shape, -1)  # row, filter, window
+    inside = (back[:, :, None] * w["kernel"].T[None]).reshape(taken.size, -1)
+    embedding = np.stack([np.bincount(taken.ravel(), inside[:, i], len(w["embedding"])) for i in range(inside.shape[1])], axis=1)
     embedding[0] = 0
     out = (embedding, np.einsum("bfk,bf->kf", chosen, back), back.sum(axis=0), pooled.T @ error, error.sum(axis=0))
     return dict(zip(_NAMES, out, strict=True)), loss
@@ -128,7 +141,16 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _loss(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray, step: int = 1_024) -> float:
+def _sliced_gradients(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Flat summed gradients and loss of any number of rows, some at a time."""
+    slopes, loss = 0.0, 0.0
+    for at in range(0, max(1, len(ids)), SLICE):
+        part, lost = gradients(w, ids[at : at + SLICE], labels[at : at + SLICE])
+        slopes, loss = slopes + _flat(part), loss + lost
+    return slopes, loss
+
+
+def _loss(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray, step: int = SLICE) -> float:
     total = 0.0
     for at in range(0, len(ids), step):
         chance = _softmax(_forward(w, ids[at : at + step])[0])
@@ -144,15 +166,15 @@ def descend(context, ids: np.ndarray, labels: np.ndarray, draw: np.ndarray, rows
     w = start(words, classes, setting)
     shapes, flat = w, _flat(w)
     checking = draw < setting.validation
-    batches = max(1, round(rows * (1 - setting.validation) / setting.batch_rows))
+    batches = min(setting.most_batches, max(1, round(rows * (1 - setting.validation) / setting.batch_rows)))
     place = np.minimum((draw - setting.validation) / (1 - setting.validation) * batches, batches - 1).astype(int)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
     best, losses, worse, step = flat, [], 0, 0
     for _ in range(setting.epochs):
         for batch in range(batches):
             own = np.flatnonzero(~checking & (place == batch))
-            slopes, loss = gradients(_shaped(flat, shapes), ids[own], labels[own])
-            told = _summed(context, np.concatenate([_flat(slopes), [len(own), loss]]))
+            slopes, loss = _sliced_gradients(_shaped(flat, shapes), ids[own], labels[own])
+            told = _summed(context, np.concatenate([slopes, [len(own), loss]]))
             slope = told[:-2] / max(1.0, told[-2])
             step += 1
             first += 0.1 * (slope - first)
@@ -187,7 +209,7 @@ def fit(encoded: DataFrame, key: str, label: str, words: int = WORDS, setting: T
     share = min(1.0, setting.most_rows / total)
     taken = stored(rows.where(F.pmod(F.xxhash64("draw", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))), "sequence-rows")
     count = taken.count()
-    trainers = max(1, min(setting.trainers, spark.sparkContext.defaultParallelism, -(-count // 64)))
+    trainers = max(1, min(setting.trainers, spark.sparkContext.defaultParallelism, -(-count // TRAINER_ROWS)))
     codes = {c: i for i, c in enumerate(classes)}
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import margin
+from tallyloom.session import stored
 
 # Smoothing factor, blend weights and horizon.
 ALPHA = 0.35
@@ -32,6 +33,7 @@ def monthly_rollup(df: DataFrame, date: str, keys: Sequence[str] = ()) -> DataFr
             F.avg(F.col("discount").cast("double")).alias("avg_discount"),
         )
     )
+    monthly = stored(monthly, "monthly")  # read twice: what the lines come from is worked out once
     span = monthly.groupBy(*keys).agg(
         F.explode(F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month"))).alias("month")
     )
