@@ -1,6 +1,8 @@
 """Market baskets: distinct items per order, frequent pairs and frequent triples.
 
-Baskets stay in long form (order, item), so an order of any size is spread over rows and never held in one cell.
+Baskets stay in long form (order, item), so an order of any size is spread over rows.  Just for counting, the items of an
+order with at most `wide` of them are packed into one row, once: pairs and triples are then listed row by row, and only
+counts are shuffled, not the pairs of every order.
 
 Pair counting is quadratic in the size of an order.  Three things keep that in hand, and all keep the result exact:
 items below the support threshold are removed first (a pair cannot be more frequent than its rarer item); the pairs of
@@ -10,7 +12,7 @@ in other orders are looked up, and only items found in enough wide orders to be
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.joins import HOT_ROWS, split_join
@@ -21,8 +23,11 @@ WIDE_SALTS = 64
 
 
 def baskets(df: DataFrame, order_key: str, item: str) -> DataFrame:
-    """Distinct items of orders with at least two of them: order_id, item, basket_size."""
-    lines = df.select(F.col(order_key).alias("order_id"), F.col(item).alias("item")).na.drop().distinct()
+    """Distinct items of orders with at least two of them: order_id, item, basket_size.
+
+    The distinct items are stored, as they are read twice.
+    """
+    lines = stored(df.select(F.col(order_key).alias("order_id"), F.col(item).alias("item")).na.drop().distinct(), "items")
     sizes = lines.groupBy("order_id").agg(F.count("*").alias("basket_size")).where("basket_size >= 2")
     return lines.join(sizes, "order_id")
 
@@ -45,7 +50,8 @@ def frequent_pairs(basket_rows: DataFrame, min_support: float, wide: int = WIDE_
     total, wide_orders = _profile(basket_rows, wide)
     least = min_count(total, min_support)
     supports = stored(item_supports(basket_rows), "item_supports")
-    pairs = _count_pairs(basket_rows, supports, least, wide, wide_orders)
+    packed, wide_kept = _kept(basket_rows, supports, least, wide)
+    pairs = _count_pairs(packed, wide_kept, least, wide_orders)
     of_a = supports.select(F.col("item").alias("item_a"), F.col("item_orders").alias("_a"))
     of_b = supports.select(F.col("item").alias("item_b"), F.col("item_orders").alias("_b"))
     together = F.col("orders_together")
@@ -72,12 +78,11 @@ def frequent_triples(basket_rows: DataFrame, min_support: float, wide: int = WID
     total, wide_orders = _profile(basket_rows, wide)
     least = min_count(total, min_support)
     supports = stored(item_supports(basket_rows), "item_supports")
-    counts = _count_pairs(basket_rows, supports, least, wide, wide_orders)
+    packed, wide_kept = _kept(basket_rows, supports, least, wide)
+    counts = _count_pairs(packed, wide_kept, least, wide_orders)
     pairs = stored(counts.select("item_a", "item_b"), "frequent_pairs")
-    narrow, wide_rows = _split(basket_rows, wide)
-    members = pairs.select(F.explode(F.array("item_a", "item_b")).alias("item")).distinct()
-    in_narrow = _pairs_in_orders(_only(narrow, members, supports)).join(pairs, ["item_a", "item_b"])
-    triples = _grow(in_narrow, pairs)
+    triples = _triples(packed, pairs)
+    _, wide_rows = _split(basket_rows, wide)
     if wide_orders:
         in_wide = _occurrences(wide_rows, pairs)
         repeated = in_wide.groupBy("item_a", "item_b").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
@@ -99,10 +104,17 @@ def _profile(basket_rows: DataFrame, wide: int) -> tuple[int, int]:
     return found["all"], found["wide"]
 
 
-def _count_pairs(basket_rows: DataFrame, supports: DataFrame, least: int, wide: int, wide_orders: int) -> DataFrame:
+def _kept(basket_rows: DataFrame, supports: DataFrame, least: int, wide: int) -> tuple[DataFrame, DataFrame]:
+    """What is left of orders without their rare items: narrow orders packed and stored, rows of wide ones."""
     kept = _only(basket_rows, supports.where(F.col("item_orders") >= least).select("item"), supports)
     narrow, wide_rows = _split(kept, wide)
-    pairs = _pair_up(narrow)
+    packed = narrow.groupBy("order_id").agg(F.array_sort(F.collect_list("item")).alias("items")).where(F.size("items") > 1)
+    return stored(packed.select("items"), "packed_orders"), wide_rows
+
+
+def _count_pairs(packed: DataFrame, wide_rows: DataFrame, least: int, wide_orders: int) -> DataFrame:
+    pairs = _first_and_after(packed).select("item_a", F.explode("after").alias("item_b"))
+    pairs = pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("orders_together"))
     if wide_orders:
         repeated = wide_rows.groupBy("item").agg(F.count("*").alias("_w")).where(F.col("_w") >= least)
         repeated = stored(repeated, "wide_items")
@@ -112,6 +124,29 @@ def _count_pairs(basket_rows: DataFrame, supports: DataFrame, least: int, wide:
     return pairs.where(F.col("orders_together") >= least)
 
 
+def _after(place: str, items: str) -> Column:
+    """The items behind a place (from 0) of an array."""
+    return F.slice(items, F.col(place) + 2, F.size(items))
+
+
+def _first_and_after(packed: DataFrame) -> DataFrame:
+    """Each item of a packed order, with the items after it."""
+    each = packed.select("items", F.posexplode("items").alias("_at", "item_a"))
+    return each.select("item_a", _after("_at", "items").alias("after"))
+
+
+def _triples(packed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Counts of triples in packed orders whose three pairs are all frequent: an item meets the list of its partners, two
+    partners after it in an order must be a frequent pair too."""
+    partners = stored(pairs.groupBy("item_a").agg(F.collect_list("item_b").alias("_partners")), "partners")
+    near = _first_and_after(packed).where(F.size("after") > 1).join(partners, "item_a")
+    near = near.select("item_a", F.array_intersect("after", "_partners").alias("after")).where(F.size("after") > 1)
+    second = near.select("item_a", "after", F.posexplode("after").alias("_at", "item_b"))
+    third = second.select("item_a", "item_b", F.explode(_after("_at", "after")).alias("item_c"))
+    bc = pairs.select(F.col("item_a").alias("item_b"), F.col("item_b").alias("item_c"))
+    return third.join(bc, ["item_b", "item_c"]).groupBy("item_a", "item_b", "item_c").agg(F.count("*").alias("orders_together"))
+
+
 def _only(rows: DataFrame, items: DataFrame, supports: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of some items.  An item of very many orders is split."""
     return split_join(rows, items, ["item"], "left_semi", supports.withColumnRenamed("item_orders", "_n"), hot_rows)
