@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.frames import find_package, map_columns, small_batches, text_key
+from tallyloom.llm.frames import find_package, map_columns, sifted, small_batches, text_key
 from tallyloom.llm.words import mix, word_hashes
 from tallyloom.session import stored
 
@@ -363,19 +363,21 @@ def classes(df: DataFrame, text: str = "text", id_column: str = "doc_id", settin
     weights = cell_weights(docs.where("node is not null"), setting)
     signed = map_columns(docs, "bands array<long>", lambda texts: [_bands(texts, weights, setting)], ["_text"], ["doc_id", "node"])
     signed = stored(signed, "neardup-signatures")
-    members = signed.where("bands is not null").select("node", F.explode("bands").alias("bucket")).distinct()
-    members = stored(members, "neardup-buckets")
+    # A text has its bands once, before they are made rows.
+    banded = stored(signed.where("bands is not null").select("node", "bands").distinct(), "neardup-bands")
+    members = banded.select("node", F.explode("bands").alias("bucket"))
     # Aggregates are stored before they are joined: with plain shuffles on both sides, a large bucket can be split.
     sizes = stored(members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "neardup-sizes")
-    shared = stored(members.join(sizes, "bucket"), "neardup-shared")
+    shared = stored(sifted(members, sizes, ["bucket"]).join(sizes, "bucket"), "neardup-shared")
     first = stored(_pairs(shared).distinct(), "neardup-pairs")
 
     # One copy of each candidate text, whatever the number of rows that hold it: that of its least id, so that the rows of
     # a text are dealt by id as well and never meet in one task.
     picks = signed.where("bands is not null").groupBy("node").agg(F.min("doc_id").alias("_id"))
     picks = stored(picks.join(shared.select(F.col("node").alias("_node")).distinct(), F.col("node") == F.col("_node")), "neardup-picks")
-    own = (docs["node"] == picks["_node"]) & docs["doc_id"].eqNullSafe(picks["_id"])
-    texts = docs.join(picks.select("_node", "_id"), own, "left_semi").select("node", "_text").dropDuplicates(["node"])
+    picks = picks.select("node", F.col("_id").alias("doc_id"))
+    # What the sieve lets through besides is the text of another node, or of the same one once more.
+    texts = sifted(docs.where("node is not null"), picks, ["node", "doc_id"]).select("node", "_text").dropDuplicates(["node"])
     texts = stored(texts, "neardup-texts")
     links = stored(verified(first, texts, weights, setting), "neardup-links")
     roots = components(links, "neardup-leaders")
