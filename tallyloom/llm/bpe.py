@@ -1,21 +1,27 @@
 """Byte-level BPE: texts to token ids with offsets, and back.
 
-The vocabulary file is a parameter and is read where the tasks run; nothing is trained.  Texts are cut into the
-vocabulary's pieces by its published pattern; each distinct piece goes through the tokenizers library once per task
-process (a cache of bounded pieces and characters), and its bytes map to characters through the byte table.
+The vocabulary file is a parameter and is read where the tasks run; nothing is trained.  A text goes whole through the
+tiktoken library, which cuts it by the vocabulary's published pattern and merges each piece by the ids' order.  Texts too
+long for its pattern engine, and vocabularies whose ids are not in merge order, take the other way: they are cut here, and
+each distinct piece goes through the tokenizers library once per task process (a cache of bounded pieces and characters).
+A token's bytes map to characters through the byte table.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Sequence
 from functools import cache
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyloom.llm.frames import map_columns
 
+#: Characters of the longest text that goes whole: tiktoken's pattern engine ends at a run of a million blanks or so.
+WHOLE_CHARACTERS = 100_000
 #: Pieces, and characters of pieces and ids, that a task process keeps; beyond either it starts anew.
 CACHE_PIECES, CACHE_CHARACTERS = 200_000, 16 << 20
 
@@ -40,9 +46,25 @@ class Codec:
         back = {c: b for b, c in byte_characters().items()}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = {i: bytes(back[c] for c in token) for token, i in vocabulary.items() if all(c in back for c in token)}
+        self.spelled = {i: str(i) for i in self.bytes}
+        self.whole = self.by_ranks(path, pattern, vocabulary)
         self.known: dict[str, str] = {}
         self.kept = 0
 
+    def by_ranks(self, path: str, pattern: str, vocabulary: dict[str, int]):
+        """The vocabulary in the tiktoken library; None unless its ids are ranks: a byte each, then a merge each, in order."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        made = [vocabulary.get(m.replace(" ", "") if isinstance(m, str) else "".join(m), -1) for m in merges]
+        ranks = {b: i for i, b in self.bytes.items()}
+        single = [i for b, i in ranks.items() if len(b) == 1]
+        in_order = len(single) == 256 and all(a < b for a, b in pairwise([max(single), *made]))
+        if not in_order or len(ranks) != 256 + len(made) or self.tokenizer.normalizer is not None:
+            return None
+        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
     def learn(self, pieces: set[str]) -> None:
         """Put new pieces' ids into the cache, which the pieces of one text may exceed."""
         new = [p for p in pieces if p not in self.known]
@@ -54,11 +76,16 @@ class Codec:
             ids = self.known[piece] = " ".join(map(str, coded.ids))
             self.kept += len(piece) + len(ids)
 
-    def ids(self, text: str) -> str:
-        """Ids as decimal numbers joined by spaces."""
+    def ids(self, text: str) -> list[int]:
+        if self.whole and len(text) <= WHOLE_CHARACTERS:
+            return self.whole.encode_ordinary(text)
         pieces = self.split(text)
         self.learn(set(pieces))
-        return " ".join(map(self.known.__getitem__, pieces))
+        return list(map(int, " ".join(map(self.known.__getitem__, pieces)).split()))
+
+    def spell(self, ids: Sequence[int]) -> str:
+        """Ids as decimal numbers joined by spaces."""
+        return " ".join(map(self.spelled.__getitem__, ids))
 
     def offsets(self, ids: Sequence[int], text: str) -> list[tuple[int, int]]:
         """First character and end of the characters that each token's bytes touch."""
@@ -98,7 +125,7 @@ def encode(
 
     def compute(texts):
         coder = codec(path, pattern)
-        ids = [[int(i) for i in coder.ids(t).split()] if t else [] for t in texts]
+        ids = [coder.ids(t) if t else [] for t in texts]
         if not offsets:
             return [ids]
         spans = [coder.offsets(i, t) if t else [] for i, t in zip(ids, texts)]
@@ -129,10 +156,9 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep:
         counts, coded, decoded = [], [], []
         for t in texts:
             ids = coder.ids(t or "")
-            numbers = list(map(int, ids.split()))
-            counts.append(len(numbers))
-            coded.append(hashlib.sha256(ids.encode()).hexdigest())
-            decoded.append(hashlib.sha256(coder.decode(numbers)).hexdigest())
+            counts.append(len(ids))
+            coded.append(hashlib.sha256(coder.spell(ids).encode()).hexdigest())
+            decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())
         return pa.array(counts, pa.int64()), coded, decoded
 
     return map_columns(df, "n_tokens long, ids_sha256 string, decoded_sha256 string", compute, [text], keep)
