@@ -18,12 +18,14 @@ def _raised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def digamma(x: np.ndarray) -> np.ndarray:
     """First derivative of the logarithm of gamma."""
     x = np.asarray(x, np.float64)
-    y, steps = _raised(x)
+    y = x + _LARGE  # every argument is raised by ten steps, whose reciprocals are summed in pairs
     r = 1.0 / (y * y)
     out = np.log(y) - 0.5 / y - r * (1 / 12 - r * (1 / 120 - r * (1 / 252 - r * (1 / 240 - r * (1 / 132)))))
-    for i in range(_LARGE):
-        out -= np.where(steps > i, 1.0 / (x + i), 0.0)
-    return out
+    pair = x * (x + 9)
+    taken = 1.0 / pair
+    for more in (8, 14, 18, 20):  # (x + 1)(x + 8) and so on are `pair` and this
+        taken += 1.0 / (pair + more)
+    return out - taken * (2 * x + 9)
 
 
 def trigamma(x: np.ndarray) -> np.ndarray:

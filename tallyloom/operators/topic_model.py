@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.gammas import digamma, log_gamma, trigamma
@@ -28,13 +28,17 @@ from tallyloom.session import stored, stored_buckets, work_name
 
 #: Counts of terms in documents that a block holds, about.
 BLOCK_TERMS = 200_000
-#: Most blocks of a group, and groups of a bucket where there are blocks enough.
-GROUP_BLOCKS, BUCKET_GROUPS = 40, 3
+#: Most blocks of a group.
+GROUP_BLOCKS = 40
 #: Steps of the weights of a block's documents in a pass, and the mean change that ends them earlier.
 STEPS, SETTLED = 50, 1e-4
 #: Parts of a Newton step that are tried on the prior of words.
 _HALVINGS = [0.5**i for i in range(8)]
 _DOCUMENT, _TERM, _SUMS = 0, 1, 2
+#: Documents are worked out together whose numbers of terms differ by this factor at most.
+ALIKE = 1.2
+#: Places of terms that are worked on together, and steps taken before it is asked whether a block has settled.
+NEAR, STRIDE = 32_768, 5
 
 
 @dataclass(frozen=True)
@@ -74,13 +78,20 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("_row", "tokens").mapInArrow(count, "_row long, term string, n long")
 
 
+def _spread_labels(spark: SparkSession, groups: int) -> list[int]:
+    """A number for each of some groups, each of which falls into a bucket of its own."""
+    tried = spark.range(groups * (20 + groups.bit_length())).select("id", F.pmod(F.hash("id"), F.lit(groups)).alias("bucket"))
+    found = [r["id"] for r in tried.groupBy("bucket").agg(F.min("id").alias("id")).orderBy("id").collect()]
+    return found + [-1 - i for i in range(groups - len(found))]  # any other numbers do too, less evenly
+
+
 def bags(rows: DataFrame, vocabulary: DataFrame, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, int, int]:
     """`_group`, `_block`, `_row`, and the ids and counts of terms in `vocabulary` (term, term_id) of rows (_row, tokens), and
     the numbers of groups and blocks.
 
     Words of a document are counted before they meet the vocabulary, so a common word is one row per document.
     """
-    known = _word_counts(rows).join(vocabulary.select("term", "term_id"), "term").select("_row", "term_id", "n")
+    known = _word_counts(rows).join(vocabulary.select("term", "term_id").hint("shuffle_hash"), "term").select("_row", "term_id", "n")
     gathered = known.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("term_id", "n"))).alias("_b"))
     gathered = stored(
         gathered.select("_row", F.col("_b")["term_id"].alias("terms"), F.col("_b")["n"].alias("counts")), "topic-counts"
@@ -88,11 +99,13 @@ def bags(rows: DataFrame, vocabulary: DataFrame, block_terms: int = BLOCK_TERMS)
     size = gathered.agg(F.sum(F.size("terms")).alias("n")).first()["n"] or 0
     blocks = -(-size // block_terms) or 1
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    groups = max(-(-blocks // GROUP_BLOCKS), min(blocks, BUCKET_GROUPS * cores))
+    waves = max(1, -(-blocks // (GROUP_BLOCKS * cores)))  # groups of equal size for each core
+    groups = min(blocks, waves * cores)
+    labels = F.array(*[F.lit(x).cast("long") for x in _spread_labels(rows.sparkSession, groups)])
     none = F.array().cast("array<long>")
     block = F.pmod(F.xxhash64("_row"), F.lit(blocks))
     dealt = rows.select("_row").join(gathered, "_row", "left").select(
-        F.pmod(block, F.lit(groups)).alias("_group"), block.alias("_block"), "_row",
+        F.element_at(labels, (F.pmod(block, F.lit(groups)) + 1).cast("int")).alias("_group"), block.alias("_block"), "_row",
         F.coalesce("terms", none).alias("terms"), F.coalesce("counts", none).alias("counts"),
     )
     return dealt, groups, blocks
@@ -107,55 +120,141 @@ def log_expectation(weights: np.ndarray) -> np.ndarray:
     return digamma(weights) - digamma(weights.sum(axis=1, keepdims=True))
 
 
+def _alike(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Where stretches of ascending lengths begin and end that differ by a factor of `ALIKE` at most and make about `NEAR`
+    places; lengths of 0 are left out."""
+    at, parts = int(np.searchsorted(lengths, 0, "right")), []
+    while at < len(lengths):
+        end = int(np.searchsorted(lengths, lengths[at] * ALIKE, "right"))
+        end = min(end, at + max(1, int(NEAR / (lengths[at] * ALIKE))))
+        parts.append((at, end))
+        at = end
+    return parts
+
+
+def _steps(alike: list[tuple], gamma: np.ndarray, alpha: np.ndarray, steps: int) -> np.ndarray:
+    """Weights of documents after each of some steps.  Stretches of about `NEAR` places take all steps in turn, while they
+    are near to the processor."""
+    out = np.empty((steps, *gamma.shape))
+    out[:, : alike[0][0] if alike else len(gamma)] = alpha  # documents without terms
+    at = 0
+    while at < len(alike):
+        to, size = at, 0
+        while to < len(alike) and (to == at or size + alike[to][3].size <= NEAR):
+            size += alike[to][3].size
+            to += 1
+        low, high = alike[at][0], alike[to - 1][1]
+        now = gamma[low:high]
+        for turn in range(steps):
+            theta = np.exp(log_expectation(now))
+            now = out[turn, low:high]
+            for start, end, _, held, beta in alike[at:to]:
+                share = np.matmul(beta, theta[start - low : end - low, :, None])[:, :, 0]
+                share += 1e-300
+                np.divide(held, share, out=share)
+                now[start - low : end - low] = np.matmul(share[:, None, :], beta)[:, 0, :]
+            now *= theta
+            now += alpha
+        at = to
+    return out
+
+
 def improve(
     place: np.ndarray, term: np.ndarray, counts: np.ndarray, gamma: np.ndarray, words: np.ndarray, alpha: np.ndarray, steps: int = STEPS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Topic weights of documents, expected counts of terms in topics, and sums over the documents (their number, their part
     of the bound, expected logarithms and counts of each topic), from (document, term, count) triples, ordered by document, earlier weights, and exponentials of the words' expected
-    logarithms."""
+    logarithms.
+
+    Documents are put in order of length, and those of like length make one array of matrices: a step is two products of each.
+    The steps are those of the whole block up to the first that changes it little.
+    """
     n, k = gamma.shape
-    beta = words[term]
-    full, first = np.unique(place, return_index=True)  # places ascend
-
-    def per_document(values):
-        out = np.zeros((n, k))
-        if len(first):
-            out[full] = np.add.reduceat(values, first, axis=0)
-        return out
-
-    for _ in range(steps):
-        theta = np.exp(log_expectation(gamma))
-        share = counts / (np.einsum("ij,ij->i", theta[place], beta) + 1e-300)
-        after = alpha + theta * per_document(share[:, None] * beta)
-        change = np.abs(after - gamma).mean() if n else 0.0
-        gamma = after
-        if change < SETTLED:
-            break
+    lengths = np.bincount(place, minlength=n)
+    order = np.argsort(lengths, kind="stable")
+    first, lengths, gamma = (np.cumsum(lengths) - lengths)[order], lengths[order], gamma[order]
+    alike = []
+    for start, end in _alike(lengths):
+        span = np.arange(lengths[end - 1])
+        blank = span >= lengths[start:end, None]
+        at = np.where(blank, first[start:end, None], first[start:end, None] + span)
+        alike.append((start, end, term[at], np.where(blank, 0.0, counts[at]), words[term[at]]))
+
+    done = 0
+    while done < steps:
+        after = _steps(alike, gamma, alpha, min(STRIDE, steps - done))
+        changes = np.abs(after - np.concatenate([gamma[None], after[:-1]])).mean(axis=(1, 2)) if n else np.zeros(1)
+        settled = np.flatnonzero(changes < SETTLED)
+        gamma, done = after[settled[0] if len(settled) else -1], steps if len(settled) else done + len(after)
     logs = log_expectation(gamma)
     theta = np.exp(logs)
-    norm = np.einsum("ij,ij->i", theta[place], beta) + 1e-300
-    given = (counts / norm)[:, None] * theta[place] * beta
-    sums = np.stack([np.bincount(term, given[:, i], len(words)) for i in range(k)], axis=1)
-    bound = float((counts * np.log(norm)).sum()) + float(((alpha - gamma) * logs + log_gamma(gamma)).sum())
+    sums, bound, used, given = np.zeros((len(words), k)), 0.0, [np.zeros(0, np.int64)], [np.zeros((k, 0))]
+    for start, end, own, held, beta in alike:
+        norm = np.matmul(beta, theta[start:end, :, None])[:, :, 0] + 1e-300
+        share = held / norm
+        used.append(own.ravel())
+        given.append(np.stack([(beta[:, :, i] * (share * theta[start:end, i, None])).ravel() for i in range(k)]))
+        bound += float((held * np.log(norm)).sum())
+    used, given = np.concatenate(used), np.concatenate(given, axis=1)
+    for i in range(k):
+        sums[:, i] = np.bincount(used, given[i], len(words))
+    bound += float(((alpha - gamma) * logs + log_gamma(gamma)).sum())
     bound += float((log_gamma(np.array([alpha.sum()])) - log_gamma(alpha).sum() - log_gamma(gamma.sum(axis=1))).sum())
-    return gamma, sums, np.concatenate([[n, bound], logs.sum(axis=0), sums.sum(axis=0)])
+    after = np.empty_like(gamma)
+    after[order] = gamma
+    return after, sums, np.concatenate([[n, bound], logs.sum(axis=0), sums.sum(axis=0)])
+
+
+_PARTS, _KINDS = ("rows", "lengths", "used", "terms", "counts"), (np.int64, np.int32, np.int32, np.int32, np.int32)
+_PACKED = "_group long, _block long, rows binary, lengths binary, used binary, terms binary, counts binary"
+
+
+def _pack(documents: pa.Table) -> pa.Table:
+    """A group's blocks, a row each: numbers and lengths of its documents, the places of its terms among those of the
+    group, and for each term of a document its place in the block and its count.  Block -1 has the group's terms."""
+    documents = documents.sort_by("_block")
+    number, whole = documents.column("_group")[0].as_py(), documents.column("terms").combine_chunks()
+    ids, places = np.unique(whole.flatten().to_numpy(), return_inverse=True)
+    counts, rows = documents.column("counts").combine_chunks().flatten().to_numpy(), documents.column("_row").to_numpy()
+    lengths, blocks = whole.value_lengths().to_numpy(), documents.column("_block").to_numpy()
+    ends = np.cumsum(lengths)
+    edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+    out = [(number, -1, b"", b"", ids.astype(np.int64).tobytes(), b"", b"")]
+    for start, end in zip(edges, edges[1:]):
+        own = slice(ends[start] - lengths[start], ends[end - 1])
+        used, terms = np.unique(places[own], return_inverse=True)
+        kept = (rows[start:end], lengths[start:end], used, terms, counts[own])
+        kept = [x.astype(kind).tobytes() for x, kind in zip(kept, _KINDS)]
+        out.append((number, int(blocks[start]), *kept))
+    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+    return pa.table([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=["_group", "_block", *_PARTS])
+
+
+def _needed(packed: DataFrame) -> DataFrame:
+    """(term_id, groups): the groups that hold each term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, held in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.frombuffer(held.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), group)), pa.array(ids)], names=["_group", "term_id"])
+
+    pairs = packed.where("_block = -1").select("_group", "used").mapInArrow(run, "_group long, term_id long")
+    return pairs.groupBy("term_id").agg(F.collect_list("_group").alias("groups"))
 
 
 def _expectation(k: int, alpha: np.ndarray, totals: np.ndarray):
     """The work of one group in one pass, block by block."""
     spent = digamma(totals)
 
-    def block(documents: pa.Table, ids: np.ndarray, own: np.ndarray, known: np.ndarray, weights: np.ndarray):
-        lists = documents.column("terms").combine_chunks()
-        lengths = lists.value_lengths().to_numpy()
-        place = np.repeat(np.arange(len(lengths)), lengths)
-        used, term = np.unique(np.searchsorted(ids, lists.flatten().to_numpy()), return_inverse=True)
-        counts = documents.column("counts").combine_chunks().flatten().to_numpy().astype(np.float64)
+    def block(held: dict, own: np.ndarray, known: np.ndarray, weights: np.ndarray):
+        rows, lengths, used, term, counts = (np.frombuffer(held[n], kind) for n, kind in zip(_PARTS, _KINDS))
+        place, counts = np.repeat(np.arange(len(lengths)), lengths), counts.astype(np.float64)
         if len(known):
-            gamma = weights[np.searchsorted(known, documents.column("_row").to_numpy())]
+            gamma = weights[np.searchsorted(known, rows)]
         else:
             gamma = alpha + np.bincount(place, counts, len(lengths))[:, None] / k
-        return used, *improve(place, term, counts, gamma, own[used], alpha)
+        return rows, used, *improve(place, term, counts, gamma, own[used], alpha)
 
     def group(documents: pa.Table, met: pa.Table) -> pa.Table:
         kinds, at, vectors = met.column("kind").to_numpy(), met.column("id").to_numpy(), _matrix(met.column("vec"), k)
@@ -166,16 +265,16 @@ def _expectation(k: int, alpha: np.ndarray, totals: np.ndarray):
             sides.append((at[chosen], vectors[chosen]))
         (ids, words), (known, weights) = sides
         own = np.exp(digamma(words) - spent) if len(ids) else np.zeros((0, k))
+        sums, told, rows, gammas = np.zeros((len(ids), k)), np.zeros(2 + 2 * k), [np.zeros(0, np.int64)], [np.zeros((0, k))]
         documents = documents.sort_by("_block")
-        changes = np.flatnonzero(np.diff(documents.column("_block").to_numpy())) + 1
-        edges = [0, *changes.tolist(), documents.num_rows] if documents.num_rows else [0]
-        sums, told, gammas = np.zeros((len(ids), k)), np.zeros(2 + 2 * k), [np.zeros((0, k))]
-        for start, end in zip(edges, edges[1:]):
-            used, gamma, given, part = block(documents.slice(start, end - start), ids, own, known, weights)
+        for i in range(documents.num_rows):
+            held = {name: documents.column(name)[i].as_buffer() for name in _PARTS}
+            here, used, gamma, given, part = block(held, own, known, weights)
             sums[used] += given
             told += part
+            rows.append(here)
             gammas.append(gamma)
-        rows = documents.column("_row").to_numpy()
+        rows = np.concatenate(rows)
         kind = np.concatenate([np.full(len(rows), _DOCUMENT), np.full(len(ids), _TERM), [_SUMS]])
         flat = np.concatenate([*[g.ravel() for g in gammas], sums.ravel(), told])
         ends = np.append(np.arange(len(rows) + len(ids) + 1) * k, len(flat))
@@ -198,7 +297,7 @@ def _pass(
     met = words.select(F.explode("groups").alias("_group"), F.lit(_TERM).alias("kind"), F.col("term_id").alias("id"), F.col("weights").alias("vec"))
     if last is not None:
         met = met.unionByName(last.where(F.col("kind") == _DOCUMENT))
-    sides = documents.groupBy("_group").cogroup(met.groupBy("_group"))
+    sides = documents.where("_block >= 0").groupBy("_group").cogroup(met.groupBy("_group"))
     return stored(sides.applyInArrow(_expectation(k, alpha, totals), _PASS), "topic-pass", name)
 
 
@@ -318,9 +417,8 @@ def fit(
     if terms.isEmpty():
         raise ValueError("no term is in enough documents")
     dealt, groups, blocks = bags(rows.select("_row", "tokens"), terms, block_terms)
-    documents = stored_buckets(dealt, "topic-bags", "_group", max(1, -(-groups // BUCKET_GROUPS)))
-    needed = documents.select("_group", F.explode("terms").alias("term_id")).distinct()
-    needed = stored(needed.groupBy("term_id").agg(F.collect_list("_group").alias("groups")), "topic-needs")
+    documents = stored_buckets(dealt.groupBy("_group").applyInArrow(_pack, _PACKED), "topic-bags", "_group", groups)
+    needed = stored(_needed(documents), "topic-needs")
     slots = [work_name("topic-slot") for _ in range(2)]
     topics = stored(first_topics(terms, k, seed), "topic-words", slots[1])
     alpha, bounds, result = np.full(k, 1.0 / k), [], None
@@ -338,7 +436,7 @@ def fit(
     topics = stored(topics, "topic-words")
     last = _pass(documents, needed, topics, result, k, alpha, totals, work_name("topic-slot"))
     weights = last.where(F.col("kind") == _DOCUMENT).select(F.col("id").alias("_row"), F.col("vec").alias("gamma"))
-    placed = rows.drop("tokens").join(documents.drop("_group").join(weights, "_row"), "_row")
+    placed = rows.drop("tokens").join(dealt.drop("_group").join(weights, "_row"), "_row")
     return TopicModel(k, terms, topics, stored(placed, "topic-placed"), alpha, totals, bounds)
 
 
