@@ -7,12 +7,14 @@ order of sums.  Training ends when the validation loss no longer falls, and the
 
 What is exchanged has the size of the model (some 100,000 numbers), whatever the number of rows, and an epoch has at most
 `most_batches` exchanges: of more rows each batch is larger, and its gradients are worked out slice by slice.  `trainers`
-bounds how many take part (few rows need few), `most_rows` how many rows they hold.  Scoring takes every row and needs no exchange.
+bounds how many take part (few rows need few).  Every labelled row teaches: a trainer keeps its rows' word ids in a file that
+goes with it, and has a slice of them in memory at a time.  Scoring takes every row and needs no exchange.
 """
 
 from __future__ import annotations
 
 import base64
+import tempfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -47,7 +49,6 @@ class Training:
     most_batches: int = 16
     validation: float = 0.1
     trainers: int = 8
-    most_rows: int = 1_000_000
     seed: int = 42
 
 
@@ -141,20 +142,24 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _sliced_gradients(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Flat summed gradients and loss of any number of rows, some at a time."""
-    slopes, loss = 0.0, 0.0
-    for at in range(0, max(1, len(ids)), SLICE):
-        part, lost = gradients(w, ids[at : at + SLICE], labels[at : at + SLICE])
+def _sliced_gradients(
+    w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray, own: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Flat summed gradients and loss of any number of rows (those at `own`, all if None), some at a time."""
+    slopes, loss, own = 0.0, 0.0, np.arange(len(ids)) if own is None else own
+    for at in range(0, max(1, len(own)), SLICE):
+        here = own[at : at + SLICE]
+        part, lost = gradients(w, ids[here], labels[here])
         slopes, loss = slopes + _flat(part), loss + lost
     return slopes, loss
 
 
-def _loss(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray, step: int = SLICE) -> float:
-    total = 0.0
-    for at in range(0, len(ids), step):
-        chance = _softmax(_forward(w, ids[at : at + step])[0])
-        total -= float(np.log(np.maximum(chance[np.arange(len(chance)), labels[at : at + step]], 1e-15)).sum())
+def _loss(w: dict[str, np.ndarray], ids: np.ndarray, labels: np.ndarray, step: int = SLICE, own: np.ndarray | None = None) -> float:
+    total, own = 0.0, np.arange(len(ids)) if own is None else own
+    for at in range(0, len(own), step):
+        here = own[at : at + step]
+        chance = _softmax(_forward(w, ids[here])[0])
+        total -= float(np.log(np.maximum(chance[np.arange(len(chance)), labels[here]], 1e-15)).sum())
     return total
 
 
@@ -173,7 +178,7 @@ def descend(context, ids: np.ndarray, labels: np.ndarray, draw: np.ndarray, rows
     for _ in range(setting.epochs):
         for batch in range(batches):
             own = np.flatnonzero(~checking & (place == batch))
-            slopes, loss = _sliced_gradients(_shaped(flat, shapes), ids[own], labels[own])
+            slopes, loss = _sliced_gradients(_shaped(flat, shapes), ids, labels, own)
             told = _summed(context, np.concatenate([slopes, [len(own), loss]]))
             slope = told[:-2] / max(1.0, told[-2])
             step += 1
@@ -181,7 +186,7 @@ def descend(context, ids: np.ndarray, labels: np.ndarray, draw: np.ndarray, rows
             second += 0.001 * (slope**2 - second)
             flat = flat - setting.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         own = np.flatnonzero(checking)
-        lost, count = _summed(context, np.array([_loss(_shaped(flat, shapes), ids[own], labels[own]), float(len(own))]))
+        lost, count = _summed(context, np.array([_loss(_shaped(flat, shapes), ids, labels, own=own), float(len(own))]))
         losses.append(lost / max(1.0, count))
         if losses[-1] <= min(losses):
             best, worse = flat, 0
@@ -195,35 +200,36 @@ def descend(context, ids: np.ndarray, labels: np.ndarray, draw: np.ndarray, rows
 def fit(encoded: DataFrame, key: str, label: str, words: int = WORDS, setting: Training = Training()) -> SequenceModel:
     """Learn classes `label` of rows with `sequence`, arrays of word ids of one length; rows without a label teach nothing.
 
-    Above `setting.most_rows` rows, a part chosen by hash of key and sequence is taken.  The stage needs as many free
-    task slots as there are trainers.
+    The stage needs as many free task slots as there are trainers.
     """
     spark = encoded.sparkSession
     rows = encoded.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), "sequence", F.pmod(F.xxhash64(key, "sequence", F.lit(setting.seed)), F.lit(1 << 30)).alias("draw")
     )
     known = rows.groupBy("label").count().collect()  # one row per class
-    classes, total = sorted(r["label"] for r in known), sum(r["count"] for r in known)
+    classes, count = sorted(r["label"] for r in known), sum(r["count"] for r in known)
     if not classes:
         raise ValueError("no row has a label")
-    share = min(1.0, setting.most_rows / total)
-    taken = stored(rows.where(F.pmod(F.xxhash64("draw", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))), "sequence-rows")
-    count = taken.count()
+    taken = stored(rows, "sequence-rows")
     trainers = max(1, min(setting.trainers, spark.sparkContext.defaultParallelism, -(-count // TRAINER_ROWS)))
     codes = {c: i for i, c in enumerate(classes)}
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
-        ids, labels, draw = [], [], []
-        for batch in batches:
-            if batch.num_rows:
-                labels += [codes[x] for x in batch.column(0).to_pylist()]
-                ids.append(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
-                draw.append(batch.column(2).to_numpy() / (1 << 30))
-        length = int(max(float(x) for x in context.allGather(str(ids[0].shape[1] if ids else WIDTH))))
-        table = np.concatenate(ids) if ids else np.zeros((0, length), np.int64)
-        numbers = np.concatenate(draw) if draw else np.zeros(0)
-        best, losses = descend(context, table, np.array(labels, np.int64), numbers, count, words, len(codes), setting)
+        width, labels, draw = WIDTH, [np.zeros(0, np.int64)], [np.zeros(0)]
+        with tempfile.TemporaryFile() as kept:  # without a name: it is gone when the task ends
+            for batch in batches:
+                if batch.num_rows:
+                    own = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                    width = len(own) // batch.num_rows
+                    kept.write(own.astype(np.int32).tobytes())
+                    labels.append(np.array([codes[x] for x in batch.column(0).to_pylist()], np.int64))
+                    draw.append(batch.column(2).to_numpy() / (1 << 30))
+            kept.flush()
+            known, numbers = np.concatenate(labels), np.concatenate(draw)
+            length = int(max(float(x) for x in context.allGather(str(width))))
+            table = np.memmap(kept, np.int32, "r", shape=(len(known), width)) if len(known) else np.zeros((0, length), np.int32)
+            best, losses = descend(context, table, known, numbers, count, words, len(codes), setting)
         if context.partitionId() == 0:
             data = [pa.array([best.tobytes()], pa.binary()), pa.array([losses], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(data, names=["weights", "losses"])
